@@ -5,17 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.decontamination import decontaminate
+from millrace.llm.packing import pack, with_digest
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_digest(pack(_table(spark, sf_dir, "documents")))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES = {"op9_benchmark_decontamination": op9_benchmark_decontamination}
+QUERIES = {
+    "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+}
 
 ORACLES: dict[str, str] = {}
