@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm import packing, secret_scan
 from millrace.llm.decontamination import decontaminate
-from millrace.llm.packing import pack, with_digest
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,7 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_digest(pack(_table(spark, sf_dir, "documents")))
+    return packing.with_digest(packing.pack(_table(spark, sf_dir, "documents")))
+
+
+def op5_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.with_digest(secret_scan.scan_secrets(_table(spark, sf_dir, "documents")))
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +27,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES = {
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
+    "op5_trigram_secret_scan": op5_trigram_secret_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
