@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import packing, secret_scan
+from millrace.llm import packing, secret_scan, toxicity
 from millrace.llm.decontamination import decontaminate
 
 
@@ -20,6 +21,13 @@ def op5_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.with_digest(secret_scan.scan_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op8_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), F.col("score"), F.col("predicted"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -28,6 +36,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES = {
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
     "op5_trigram_secret_scan": op5_trigram_secret_scan,
+    "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
