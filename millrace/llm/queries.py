@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, secret_scan, toxicity
+from millrace.llm import packing, secret_scan, simhash_golay, toxicity
 from millrace.llm.decontamination import decontaminate
 
 
@@ -17,6 +17,10 @@ def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_digest(packing.pack(_table(spark, sf_dir, "documents")))
 
 
+def op3_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_golay.with_hex(simhash_golay.simhash_components(_table(spark, sf_dir, "documents")))
+
+
 def op5_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.with_digest(secret_scan.scan_secrets(_table(spark, sf_dir, "documents")))
 
@@ -35,6 +39,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES = {
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
+    "op3_golay_simhash": op3_golay_simhash,
     "op5_trigram_secret_scan": op5_trigram_secret_scan,
     "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
