@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, secret_scan, simhash_golay, toxicity
+from millrace.llm import packing, secret_scan, simhash_golay, toxicity, warc_bundles
 from millrace.llm.decontamination import decontaminate
 
 
@@ -25,6 +25,11 @@ def op5_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.with_digest(secret_scan.scan_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op7_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc_bundles.round_trip(_table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
@@ -41,8 +46,19 @@ QUERIES = {
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
     "op3_golay_simhash": op3_golay_simhash,
     "op5_trigram_secret_scan": op5_trigram_secret_scan,
+    "op7_seekable_warc": op7_seekable_warc,
     "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_seekable_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS raw FROM pages),
+        k AS (SELECT page_id, octet_length(raw) AS n, sha1(raw) AS digest FROM p),
+        b AS (SELECT digest, n, max(page_id) AS best FROM k WHERE n >= 1000 GROUP BY digest, n)
+        SELECT k.page_id, CAST(k.n AS BIGINT) AS payload_bytes, k.digest AS payload_digest,
+               CASE WHEN k.page_id < b.best THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN k.page_id < b.best THEN b.best END AS refers_to
+        FROM k LEFT JOIN b ON k.digest = b.digest AND k.n = b.n
+    """,
+}
