@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, secret_scan, simhash_golay, toxicity, warc_bundles
+from millrace.llm import packing, perspective_chat, secret_scan, simhash_golay, toxicity, warc_bundles
 from millrace.llm.decontamination import decontaminate
 
 
@@ -25,6 +25,10 @@ def op5_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.with_digest(secret_scan.scan_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op6_perspective_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspective_chat.rotate_perspectives(_table(spark, sf_dir, "conversations"))
+
+
 def op7_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc_bundles.round_trip(_table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -46,12 +50,31 @@ QUERIES = {
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
     "op3_golay_simhash": op3_golay_simhash,
     "op5_trigram_secret_scan": op5_trigram_secret_scan,
+    "op6_perspective_chat": op6_perspective_chat,
     "op7_seekable_warc": op7_seekable_warc,
     "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_perspective_chat": """
+        WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS content
+                   FROM conversations WHERE conv_id IS NOT NULL),
+        p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+        r AS (SELECT t.conv_id, p.perspective, t.turn, t.speaker, t.content,
+                     CASE WHEN t.speaker = 'system' THEN 'system' WHEN t.speaker = p.perspective THEN 'assistant' ELSE 'user' END AS role
+              FROM t JOIN p ON t.conv_id = p.conv_id),
+        n AS (SELECT *, CASE WHEN role = 'user' THEN replace(regexp_replace(speaker, '[ \\t\\r\\n]', '_', 'g'), '<|', '< |') END AS name FROM r),
+        h AS (SELECT *, '<|im_start|>' || role || coalesce(' name=' || name, '') || chr(10) AS head, replace(content, '<|', '< |') || '<|im_end|>' AS body FROM n),
+        s AS (SELECT *, head || body || chr(10) AS rendered FROM h),
+        o AS (SELECT *, CAST(row_number() OVER w AS BIGINT) AS segment,
+                     CAST(sum(length(rendered)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS "end"
+              FROM s WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, content))
+        SELECT conv_id, perspective, segment, turn, role, name, rendered, CAST("end" - length(rendered) AS BIGINT) AS start, "end",
+               CASE WHEN role = 'assistant' THEN CAST("end" - length(rendered) + length(head) AS BIGINT) END AS mask_start,
+               CASE WHEN role = 'assistant' THEN CAST("end" - 1 AS BIGINT) END AS mask_end
+        FROM o
+    """,
     "op7_seekable_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS raw FROM pages),
         k AS (SELECT page_id, octet_length(raw) AS n, sha1(raw) AS digest FROM p),
