@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, perspective_chat, secret_scan, simhash_golay, toxicity, warc_bundles
+from millrace.llm import packing, perspective_chat, secret_scan, simhash_golay, toxicity, warc_bundles, weak_quality
 from millrace.llm.decontamination import decontaminate
 
 
@@ -21,6 +21,11 @@ def op3_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.with_hex(simhash_golay.simhash_components(_table(spark, sf_dir, "documents")))
 
 
+def op4_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return weak_quality.score_quality(docs, weak_quality.fit_quality(docs))
+
+
 def op5_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.with_digest(secret_scan.scan_secrets(_table(spark, sf_dir, "documents")))
 
@@ -49,6 +54,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES = {
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
     "op3_golay_simhash": op3_golay_simhash,
+    "op4_weak_label_quality": op4_weak_label_quality,
     "op5_trigram_secret_scan": op5_trigram_secret_scan,
     "op6_perspective_chat": op6_perspective_chat,
     "op7_seekable_warc": op7_seekable_warc,
