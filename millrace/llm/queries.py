@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from millrace.llm import packing, perspective_chat, secret_scan, simhash_golay, toxicity, warc_bundles, weak_quality
 from millrace.llm.decontamination import decontaminate
+from millrace.llm.embedding_dedup import embedding_components
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_cross_polytope_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_digest(packing.pack(_table(spark, sf_dir, "documents")))
 
@@ -52,6 +57,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES = {
+    "op1_cross_polytope_dedup": op1_cross_polytope_dedup,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
     "op3_golay_simhash": op3_golay_simhash,
     "op4_weak_label_quality": op4_weak_label_quality,
