@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.llm import packing, perspective_chat, secret_scan, simhash_golay, toxicity, warc_bundles, weak_quality
 from millrace.llm.decontamination import decontaminate
 from millrace.llm.embedding_dedup import embedding_components
+from millrace.llm.suffix_dedup import dedup_substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +57,10 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op10_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_cross_polytope_dedup": op1_cross_polytope_dedup,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
@@ -66,6 +71,7 @@ QUERIES = {
     "op7_seekable_warc": op7_seekable_warc,
     "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_difference_cover_dedup": op10_difference_cover_dedup,
 }
 
 ORACLES: dict[str, str] = {
