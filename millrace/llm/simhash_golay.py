@@ -159,7 +159,7 @@ def with_hex(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The documents whose id is the smallest of their component; a repeated id stays once for each of its rows' texts."""
+    """The documents without those whose id is never the smallest of its component; rows without an id stay."""
     found = simhash_components(docs, text_col, id_col)
-    kept = found.where(F.col("component_id") == F.col(id_col)).select(id_col).distinct()
-    return docs.join(kept, id_col, "left_semi")
+    gone = found.groupBy(id_col).agg(F.bool_or(F.col("component_id") == F.col(id_col)).alias("stays")).where("NOT stays").select(id_col)
+    return docs.join(gone, id_col, "left_anti")
