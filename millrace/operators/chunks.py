@@ -125,17 +125,22 @@ def split_verified(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def coverage_errors(units: DataFrame, documents: DataFrame, chunks: DataFrame) -> DataFrame:
     """(document_id, at, error) for every broken promise of a set of chunks; no row if it is sound."""
-    twice = chunks.groupBy("document_id", "chunk_id").agg(F.count(F.lit(1)).alias("n"), F.min("source_start").alias("at")).where("n > 1").select("document_id", "at", F.lit("duplicate chunk ID").alias("error"))
     known = documents.select("document_id", F.col("source_hash").alias("own_hash"), "source_text")
-    placed = chunks.join(known, "document_id", "left")
-    foreign = placed.where("own_hash IS NULL OR own_hash <> source_hash").select("document_id", F.col("source_start").alias("at"), F.lit("chunk provenance mismatch").alias("error"))
     w = W.partitionBy("document_id").orderBy("source_start", "source_end")
-    overlap = chunks.withColumn("b", F.lag("source_end").over(w)).where("source_start < b").select("document_id", F.col("source_start").alias("at"), F.lit("overlapping chunk spans").alias("error"))
-    off = placed.where((F.col("source_end") > F.char_length("source_text")) | (slice_text("source_text", "source_start", "source_end") != F.col("content"))).select("document_id", F.col("source_start").alias("at"), F.lit("chunk source offset mismatch").alias("error"))
+    again = F.row_number().over(W.partitionBy("document_id", "chunk_id").orderBy("source_start", "source_end"))
+    flagged = chunks.withColumn("before", F.lag("source_end").over(w)).withColumn("again", again).join(known, "document_id", "left")
+    off = (F.col("source_end") > F.char_length("source_text")) | (slice_text("source_text", "source_start", "source_end") != F.col("content"))
+    rules = [
+        ("duplicate chunk ID", F.col("again") > 1),
+        ("chunk provenance mismatch", F.col("own_hash").isNull() | (F.col("own_hash") != F.col("source_hash"))),
+        ("overlapping chunk spans", F.col("source_start") < F.col("before")),
+        ("chunk source offset mismatch", off),
+    ]
+    broken = F.explode(F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules])))
+    told = flagged.select("document_id", F.col("source_start").alias("at"), broken.alias("error"))
     spans = units.where(~F.col("kind").isin(*UPPER)).select("document_id", "start", "end")
-    meets = (spans["document_id"] == chunks["document_id"]) & (chunks["source_start"] < spans["end"]) & (chunks["source_end"] > spans["start"])
-    covered = F.sum(F.least("end", "source_end") - F.greatest("start", "source_start"))
-    held = spans.join(chunks.select("document_id", "source_start", "source_end"), meets, "left").select(spans["document_id"], "start", "end", "source_start", "source_end")
-    gaps = held.groupBy("document_id", "start", "end").agg(F.coalesce(covered, F.lit(0)).alias("covered")).where(F.col("covered") < F.col("end") - F.col("start"))
-    gaps = gaps.select("document_id", F.col("start").alias("at"), F.lit("uncovered source span").alias("error"))
-    return twice.unionByName(foreign).unionByName(overlap).unionByName(off).unionByName(gaps)
+    held = chunks.select(F.col("document_id").alias("c_document"), F.col("source_start").alias("c_start"), F.col("source_end").alias("c_end"))
+    meets = (F.col("document_id") == F.col("c_document")) & (F.col("c_start") < F.col("end")) & (F.col("c_end") > F.col("start"))
+    covered = F.coalesce(F.sum(F.when(F.col("c_start").isNotNull(), F.least("end", "c_end") - F.greatest("start", "c_start"))), F.lit(0))
+    gaps = spans.join(held, meets, "left").groupBy("document_id", "start", "end").agg(covered.alias("covered")).where(F.col("covered") < F.col("end") - F.col("start"))
+    return told.unionByName(gaps.select("document_id", F.col("start").alias("at"), F.lit("uncovered source span").alias("error")))

@@ -51,7 +51,7 @@ def numbered(spark, sf_dir) -> DataFrame:
 
 
 def units_of(spark, sf_dir) -> DataFrame:
-    return hierarchy.parse_units(numbered(spark, sf_dir))
+    return hierarchy.parse_units(numbered(spark, sf_dir)).persist()
 
 
 def documents_of(spark, sf_dir) -> DataFrame:
@@ -65,7 +65,7 @@ def documents_of(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("No. "), "document_id").alias("document_number"),
         F.when(F.col("document_id").cast("long") % 3 > 0, F.concat(F.lit("Title "), "document_id")).alias("title"),
         "source_text",
-    )
+    ).persist()
 
 
 LINES = r"""
@@ -199,7 +199,8 @@ def chunk_split_sink(spark, sf_dir):
 
 @query("SELECT CAST(NULL AS VARCHAR) AS document_id, CAST(NULL AS INT) AS at, CAST(NULL AS VARCHAR) AS error WHERE false")
 def chunk_coverage_check(spark, sf_dir):
-    return chunks.coverage_errors(units_of(spark, sf_dir), documents_of(spark, sf_dir), hier_of(spark, sf_dir))
+    units, docs = units_of(spark, sf_dir), documents_of(spark, sf_dir)
+    return chunks.coverage_errors(units, docs, chunks.hierarchy_chunks(units, docs, SIZE).persist())
 
 
 def _windows_sql(variant: str, source: str, limit: int) -> str:
@@ -261,21 +262,21 @@ def asked_of(spark, sf_dir) -> DataFrame:
 def ranked_of(spark, sf_dir, k: int) -> DataFrame:
     pieces = pieces_of(spark, sf_dir)
     best = bm25.top_k(bm25.scores(pieces, asked_of(spark, sf_dir)), k)
-    return best.join(pieces.drop("embed_text"), "chunk_id").withColumn("citation_verified", F.lit(True))
+    return best.join(pieces.drop("embed_text"), "chunk_id").withColumn("citation_verified", F.lit(True)).persist()
 
 
 def gold_of(spark, sf_dir) -> DataFrame:
-    """Where items stand verbatim in documents: joined on the first word run of each, then checked in full."""
+    """Where items stand verbatim in documents: joined on six words of each item, then checked in full."""
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("item"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("document_id"), "text")
     key = F.lower(F.array_join(F.slice(T.tokens("item"), 2, 6), " "))
     keyed = items.withColumn("key", key)
-    found = T.tokens("text")
-    grams = docs.select("document_id", "text", F.explode(F.array_distinct(F.when(F.size(found) >= 6, F.transform(F.sequence(F.lit(1), F.size(found) - 5), lambda i: F.array_join(F.slice(found, i, F.lit(6)), " "))))).alias("key"))
+    found = F.col("found")
+    grams = docs.withColumn("found", T.tokens("text")).select("document_id", "text", F.explode(F.array_distinct(F.when(F.size(found) >= 6, F.transform(F.sequence(F.lit(1), F.size(found) - 5), lambda i: F.array_join(F.slice(found, i, F.lit(6)), " "))))).alias("key"))
     hits = grams.join(keyed, "key").where(F.contains("text", "item")).select("query_id", "document_id", (F.expr("instr(text, item)") - 1).cast("int").alias("start"), F.char_length("item").alias("n")).distinct()
     w = W.partitionBy("query_id").orderBy("document_id", "start")
     blank = [F.lit(None).cast("string").alias(k) for k in retrieval_metrics.KEYS]
-    return hits.select("query_id", F.row_number().over(w).alias("evidence_id"), "document_id", "start", (F.col("start") + F.col("n")).alias("end"), *blank)
+    return hits.select("query_id", F.row_number().over(w).alias("evidence_id"), "document_id", "start", (F.col("start") + F.col("n")).alias("end"), *blank).persist()
 
 
 def with_null_keys(ranked: DataFrame) -> DataFrame:
