@@ -39,22 +39,35 @@ def evaluate_variants(spark: SparkSession, folder: Path, gold_path: Path, top_k:
     """For each variant its summary and metrics by question; metrics at k exist up to ``top_k``."""
     if top_k < 1:
         raise ValueError("top_k must be positive")
-    documents, units, verified = (df.persist() for df in read_pilot(spark, folder))
-    gold = spark.read.schema(GOLD).option("mode", "FAILFAST").json(str(gold_path)).coalesce(1).persist()
+    held: list[DataFrame] = []
+    try:
+        return _evaluate(spark, folder, gold_path, top_k, split, held)
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+def _evaluate(spark: SparkSession, folder: Path, gold_path: Path, top_k: int, split: str, held: list[DataFrame]) -> dict:
+    def keep(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return df
+
+    documents, units, verified = map(keep, read_pilot(spark, folder))
+    gold = keep(spark.read.schema(GOLD).option("mode", "FAILFAST").json(str(gold_path)).coalesce(1))
     if gold.where((F.col("split") == split) & F.coalesce("answerable", F.lit(True))).first() is None:
         raise ValueError("no labelled answerable cases for the requested split")
-    evidence = checked_gold(gold, units, documents).persist()
+    evidence = keep(checked_gold(gold, units, documents))
     asked = evidence.where((F.col("split") == split) & F.col("answerable"))
     questions = asked.select("query_id", "query").distinct()
     size = spark.read.option("multiLine", True).json(str(folder / "pilot_manifest.json")).first()["max_chars"]
-    known = chunks.variant_union(chunks.fixed_chunks(documents, size), chunks.article_chunks(units, documents, size), verified).persist()
+    known = keep(chunks.variant_union(chunks.fixed_chunks(documents, size), chunks.article_chunks(units, documents, size), verified))
     began = time.perf_counter()
-    best = bm25.top_k(bm25.scores(known, questions, keep=("variant",)), top_k, by=("variant", "query_id")).persist()
+    best = keep(bm25.top_k(bm25.scores(known, questions, keep=("variant",)), top_k, by=("variant", "query_id")))
     best.count()
     took = (time.perf_counter() - began) * 1000
     ranked = best.join(known.drop("embed_text", "content"), ["variant", "chunk_id"])
     groups = known.select("variant").distinct().crossJoin(questions.select("query_id"))
-    rows = retrieval_metrics.per_query(ranked, asked, groups, tuple(k for k in (5, 10, 20) if k <= top_k), ("variant",)).persist()
+    rows = keep(retrieval_metrics.per_query(ranked, asked, groups, tuple(k for k in (5, 10, 20) if k <= top_k), ("variant",)))
     report = {}
     totals = {r["variant"]: r["count"] for r in known.groupBy("variant").count().collect()}
     for r in retrieval_metrics.summary(rows).collect():

@@ -364,7 +364,7 @@ def retrieval_summary(spark, sf_dir):
 def unit_gold(spark, sf_dir) -> DataFrame:
     """Evidence built from units: every third asks for a wrong article or reaches beyond its unit."""
     units = units_of(spark, sf_dir).where("kind = 'clause'")
-    wrong = F.col("pos") % 3
+    wrong = F.floor(F.col("pos") / 9) % 3
     return units.select(
         F.concat_ws(":", "document_id", "pos").alias("query_id"),
         "document_id",
@@ -378,8 +378,8 @@ def unit_gold(spark, sf_dir) -> DataFrame:
 
 
 UNIT_GOLD = f"""{UNITS},
-    ug AS (SELECT document_id || ':' || pos AS query_id, document_id, start, CAST(CASE WHEN pos % 3 = 1 THEN "end" + 5 ELSE "end" END AS INT) AS "end",
-                  CASE WHEN pos % 3 = 2 THEN 'none' ELSE article END AS article, clause,
+    ug AS (SELECT document_id || ':' || pos AS query_id, document_id, start, CAST(CASE WHEN pos // 9 % 3 = 1 THEN "end" + 5 ELSE "end" END AS INT) AS "end",
+                  CASE WHEN pos // 9 % 3 = 2 THEN 'none' ELSE article END AS article, clause,
                   CASE WHEN CAST(document_id AS BIGINT) % 2 = 0 THEN 'dev' WHEN pos % 2 = 0 THEN 'test' ELSE 'dev' END AS split FROM units WHERE kind = 'clause')"""
 
 
@@ -462,7 +462,7 @@ def audited(spark, sf_dir) -> DataFrame:
 
 _AUDITED = """
     a AS (SELECT CAST(d.doc_id AS VARCHAR) AS source_id, d.*, l.quality, l.toxic, row_number() OVER (PARTITION BY sha256(d.text) ORDER BY d.doc_id) AS copy FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
-    i AS (SELECT source_id, unnest(list_filter([CASE WHEN copy > 1 THEN 'duplicate_content' END, CASE WHEN length(text) <> n_chars THEN 'length_mismatch' END, CASE WHEN quality IS NULL THEN 'missing_label' END, CASE WHEN quality = 0 THEN 'low_quality' END, CASE WHEN toxic = 1 THEN 'toxic' END], x -> x IS NOT NULL)) AS code FROM a)"""
+    i AS (SELECT source_id, unnest(list_filter([CASE WHEN copy > 1 THEN 'duplicate_content' END, CASE WHEN length(text) <> n_chars THEN 'length_mismatch' END, CASE WHEN quality IS NULL THEN 'missing_label' END, CASE WHEN quality = 0 THEN 'low_quality' END, CASE WHEN toxic = 1 THEN 'toxic' END], lambda x: x IS NOT NULL)) AS code FROM a)"""
 
 
 def audit_rules():
@@ -663,9 +663,10 @@ def topk_per_group(spark, sf_dir):
 # --- dense and fused ranking -----------------------------------------------------------------------------------------
 
 _COS = """
-    v AS (SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings),
-    n AS (SELECT vec_id, list_transform(e, x -> x / sqrt(list_sum(list_transform(e, y -> y * y)))) AS u FROM v),
-    pairs AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, round(list_sum(list_transform(generate_series(1, len(a.u)), i -> a.u[i] * b.u[i])), 6) AS score FROM n a JOIN n b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+    z AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda y: y * y))) AS n FROM v),
+    n AS (SELECT vec_id, list_transform(e, lambda x: x / n) AS u FROM z),
+    pairs AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, round(list_inner_product(a.u, b.u), 6) AS score FROM n a JOIN n b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
     top AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS BIGINT) AS rank FROM pairs)"""
 
 

@@ -1,6 +1,12 @@
+import os
+from pathlib import Path
+
 import pytest
 from pyspark.sql import SparkSession
 
+HERE = Path(__file__).parent
+os.environ["PYTHONPATH"] = os.pathsep.join([str(HERE.parent), str(HERE), os.environ.get("PYTHONPATH", "")])  # for workers
+
 
 @pytest.fixture(scope="session")
 def spark():
