@@ -75,6 +75,31 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_cross_polytope_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE embedding IS NOT NULL),
+        n AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS size FROM v),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+              WHERE a.size > 0 AND b.size > 0 AND list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.95),
+        r(vec_id, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON r.vec_id = l.a),
+        m AS (SELECT vec_id, min(c) AS component_id FROM r GROUP BY 1),
+        k AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY 1)
+        SELECT m.vec_id, CAST(coalesce(k.n_links, 0) AS BIGINT) AS n_links, m.component_id, m.vec_id = m.component_id AS kept
+        FROM m LEFT JOIN k ON m.vec_id = k.vec_id
+    """,
+    "op9_benchmark_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        bs AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(generate_series(0, len(w) - least(10, len(w)))) AS i FROM b WHERE len(w) > 0),
+        win AS (SELECT DISTINCT item_id, n, array_to_string(w[i + 1:i + n], ' ') AS g FROM bs),
+        ds AS (SELECT doc_id, w, n, unnest(generate_series(0, len(w) - n)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+        dw AS (SELECT doc_id, n, i, array_to_string(w[i + 1:i + n], ' ') AS g FROM ds),
+        hit AS (SELECT dw.doc_id, win.item_id, dw.i, dw.n FROM dw JOIN win ON dw.n = win.n AND dw.g = win.g),
+        pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY 1),
+        it AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(x, ',' ORDER BY x)) AS h FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hit) GROUP BY 1)
+        SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(pos.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(it.n_items, 0) AS BIGINT) AS n_items,
+               coalesce(it.h, sha256('')) AS items_sha256, coalesce(pos.n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
+    """,
     "op6_perspective_chat": """
         WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS content
                    FROM conversations WHERE conv_id IS NOT NULL),
