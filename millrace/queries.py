@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions import html as H
 from millrace.functions import text as T
 from millrace.operators import bm25, chunks, hierarchy, quality_audit, retrieval_metrics, sampling
+from millrace.sources.session import ship_package
 from millrace.streaming import sync_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
