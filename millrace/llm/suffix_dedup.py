@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textvec as tv
-from millrace.llm.difference_cover import equal_runs, words_at
+from millrace.llm.difference_cover import PERIOD, equal_runs, words_at
 from millrace.llm.shared import quoted, ship_package, write_table
 
 GRAM = 32
@@ -257,11 +257,32 @@ def gather_bytes(marked: DataFrame, length: int, buckets: int) -> DataFrame:
     return marked.mapInArrow(run, "bucket long, doc long, tag long, start long, runs int, bytes binary")
 
 
+def aligned(raw: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, where each span begins): spans laid so that the gram of each stands at a multiple of the cover's period.
+
+    Equal runs then have equal residues, so their cover ranks compare directly.
+    """
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    tight = np.concatenate([[0], np.cumsum(size)[:-1]])
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    sums = tv.prefix_sums(data)
+    _, inverse = tv.powers(len(data) + 1)
+    grams = tv.mix((sums[GRAM:] - sums[:-GRAM]) * inverse[: len(data) - GRAM + 1])
+    keyed = (grams & ~PLACE_BITS) | (PLACE_BITS - (np.arange(len(grams), dtype=np.uint64) & PLACE_BITS))
+    low = PLACE_BITS - (sliding_least(keyed, length - GRAM + 1)[tight] & PLACE_BITS)
+    gram_at = (low.astype(np.int64) - tight) % (1 << 24)
+    slot = (size + 2 * PERIOD - 2) // PERIOD * PERIOD
+    begin = np.concatenate([[0], np.cumsum(slot)[:-1]]) + -gram_at % PERIOD
+    text = np.zeros(int(slot.sum()), np.uint8)
+    owner, k = tv.ragged(size)
+    text[begin[owner] + k] = data
+    return text, begin
+
+
 def later_runs(raw: list[bytes], doc, tag, start, runs, length: int):
     """(doc, tag, start, end), united: runs of these spans that also begin at an earlier place among them."""
-    size = np.fromiter(map(len, raw), np.int64, len(raw))
-    begin = np.concatenate([[0], np.cumsum(size)[:-1]])
-    words = words_at(np.frombuffer(b"".join(raw), np.uint8))
+    text, begin = aligned(raw, length)
+    words = words_at(text)
     owner, k = tv.ragged(runs.astype(np.int64))
     order, group = equal_runs(words, begin[owner] + k, length)
     owner, place = owner[order], (start[owner] + k)[order]
