@@ -257,8 +257,8 @@ def pieces_of(spark, sf_dir, size: int = 1800) -> DataFrame:
 
 
 def asked_of(spark, sf_dir) -> DataFrame:
-    """The first 60 characters of each item as its query."""
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.left("text", F.lit(60)).alias("query"))
+    """Each item's whole text as its query."""
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
 def ranked_of(spark, sf_dir, k: int) -> DataFrame:
