@@ -2,7 +2,8 @@
 
 Fitting takes at most ``most_per_class`` labelled rows of each class (those of the smallest id hash) that do not belong
 to the held-out fold. Words and stems that tell toxic from clean documents become the lexicon; terms that stay precise
-when misspelled may be matched with an edit. A term's window of bytes to either side tells quotation (an opening mark
+when misspelled may be matched with an edit: one at any byte, a swap of neighbours included, or else one behind the first
+byte. A term's window of bytes to either side tells quotation (an opening mark
 before, a closing one after) from abuse, and a small logistic model over the counts of exact, misspelled and quoted
 terms gives the score. All documents are then scored in one pass without a shuffle; labels, lang, source and ids are
 never features.
@@ -33,6 +34,7 @@ FOLDS = 5
 #: Opening and closing quotation marks as UTF-8.
 OPENING = ('"', "“", "«", "„", "‘")
 CLOSING = ('"', "”", "»", "“", "’")
+FITTING_ROUNDS = 6  # in which terms may give up edits
 STEMS = range(4, 9)  # lengths of stems in bytes
 #: Where fitting starts from, and where it stays without evidence: bias, exact, misspelled, quoted.
 PRIOR = np.array([-3.0, 5.0, 3.0, 0.5])
@@ -206,7 +208,7 @@ def choose_terms(candidates: dict[bytes, tuple[int, int, int]], toxic: int, clea
         if len(w) > 2 and pure(b"=" + w) and not any(w[:k] in covered for k in STEMS):
             kept[w, False] = candidates[b"=" + w][0]
     chosen = sorted(kept, key=lambda k: (-kept[k], k))[:most]
-    return [Term(text, stem, 0 if len(text) < 5 else 1) for text, stem in chosen]
+    return [Term(text, stem, 1, True) for text, stem in chosen]
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
@@ -241,28 +243,32 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most_per_class: int = 10_00
     model.terms = choose_terms({bytes(r["f"]): (r["toxic"], r["clean"], r["places"]) for r in top}, toxic, clean, least_support(by_df, toxic, clean))
     if not model.terms:
         return model
-    terms = model.terms
-
-    def worker():
-        automaton = LexiconAutomaton(terms)
-
-        def handle(text, _):
-            by_row: list[list[int]] = [[] for _ in range(len(text))]
-            for r in term_counts(text, automaton, window).tolist():
-                by_row[r[0]] += r[1:]
-            return {"hits": pa.array(by_row, pa.list_(pa.int64()))}
-
-        return handle
-
     fields = T.StructType([T.StructField("hits", T.ArrayType(T.LongType()))])
-    seen = map_text(rows, worker, fields, "t", ("y",)).collect()
-    y = np.array([r["y"] for r in seen])
-    counts = np.array([(i, *r["hits"][k : k + 3]) for i, r in enumerate(seen) for k in range(0, len(r["hits"]), 3)], np.int64).reshape(-1, 4)
-    near = counts[counts[:, 2] == 1]
-    bad = np.bincount(near[:, 1], weights=1 - y[near[:, 0]], minlength=len(terms)) / clean
-    good = np.bincount(near[:, 1], weights=y[near[:, 0]], minlength=len(terms)) / toxic
-    loose = bad <= 0.05 * good + 0.0002
-    model.terms = [t if t.edits and loose[i] else Term(t.text, t.stem, 0) for i, t in enumerate(terms)]
+    for last in [False] * (FITTING_ROUNDS - 1) + [True]:
+        terms = model.terms
+
+        def worker(terms=terms):
+            automaton = LexiconAutomaton(terms)
+
+            def handle(text, _):
+                by_row: list[list[int]] = [[] for _ in range(len(text))]
+                for r in term_counts(text, automaton, window).tolist():
+                    by_row[r[0]] += r[1:]
+                return {"hits": pa.array(by_row, pa.list_(pa.int64()))}
+
+            return handle
+
+        seen = map_text(rows, worker, fields, "t", ("y",)).collect()
+        y = np.array([r["y"] for r in seen])
+        counts = np.array([(i, *r["hits"][k : k + 3]) for i, r in enumerate(seen) for k in range(0, len(r["hits"]), 3)], np.int64).reshape(-1, 4)
+        near = counts[counts[:, 2] == 1]
+        bad = np.bincount(near[:, 1], weights=1 - y[near[:, 0]], minlength=len(terms)) / clean
+        good = np.bincount(near[:, 1], weights=y[near[:, 0]], minlength=len(terms)) / toxic
+        loose = (bad <= 0.05 * good + 0.0002) & np.array([t.edits > 0 for t in terms])
+        # a word belongs to one term, so what a term gives up may fall to another, which is then tried again
+        model.terms = [t if loose[i] else Term(t.text, t.stem, int(t.free and not last)) for i, t in enumerate(terms)]
+        if model.terms == terms:
+            break
     model.weights = fit_weights(features_of(counts, len(y), loose), y)
     return model
 
