@@ -268,14 +268,28 @@ def ranked_of(spark, sf_dir, k: int) -> DataFrame:
 
 
 def gold_of(spark, sf_dir) -> DataFrame:
-    """Where items stand verbatim in documents: joined on six words of each item, then checked in full."""
+    """Where items stand verbatim in documents, the first place in each document.
+
+    Items are joined on six of their inner words, shorter ones on all inner words, and then checked in full. Items without
+    an inner word are checked against all documents.
+    """
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("item"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("document_id"), "text")
-    key = F.lower(F.array_join(F.slice(T.tokens("item"), 2, 6), " "))
-    keyed = items.withColumn("key", key)
+    # the first and the last word of an item may go on in the document
+    inner = F.least(F.size(T.tokens("item")) - 2, F.lit(6))
+    sizes = sorted(r[0] for r in items.where("item IS NOT NULL").select(inner).distinct().collect())
+    keyed = items.where(inner > 0).withColumn("key", F.lower(F.array_join(F.slice(T.tokens("item"), F.lit(2), inner), " ")))
     found = F.col("found")
-    grams = docs.withColumn("found", T.tokens("text")).select("document_id", "text", F.explode(F.array_distinct(F.when(F.size(found) >= 6, F.transform(F.sequence(F.lit(1), F.size(found) - 5), lambda i: F.array_join(F.slice(found, i, F.lit(6)), " "))))).alias("key"))
-    hits = grams.join(keyed, "key").where(F.contains("text", "item")).select("query_id", "document_id", (F.expr("instr(text, item)") - 1).cast("int").alias("start"), F.char_length("item").alias("n")).distinct()
+
+    def runs(n: int):
+        return F.when(F.size(found) >= n, F.transform(F.sequence(F.lit(1), F.size(found) - n + 1), lambda i: F.array_join(F.slice(found, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
+
+    every = F.array_distinct(F.concat(*[runs(n) for n in sizes if n > 0] or [F.array().cast("array<string>")]))
+    grams = docs.withColumn("found", T.tokens("text")).select("document_id", "text", F.explode(every).alias("key"))
+    hits = grams.join(keyed, "key").drop("key")
+    if sizes and sizes[0] <= 0:
+        hits = hits.unionByName(docs.crossJoin(items.where(inner <= 0)))
+    hits = hits.where(F.contains("text", "item")).select("query_id", "document_id", (F.expr("instr(text, item)") - 1).cast("int").alias("start"), F.char_length("item").alias("n")).distinct()
     w = W.partitionBy("query_id").orderBy("document_id", "start")
     blank = [F.lit(None).cast("string").alias(k) for k in retrieval_metrics.KEYS]
     return hits.select("query_id", F.row_number().over(w).alias("evidence_id"), "document_id", "start", (F.col("start") + F.col("n")).alias("end"), *blank).persist()
