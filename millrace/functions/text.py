@@ -10,16 +10,41 @@ MARKED = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếể
 PLAIN = "aaaaaaaaaaaaaaaaaeeeeeeeeeeeiiiiiooooooooooooooooouuuuuuuuuuuyyyyy"
 #: Folded status labels.
 ACTIVE, PARTIAL, FUTURE = "con hieu luc", "het hieu luc mot phan", "chua co hieu luc"
-EXPIRED = ("het hieu luc toan bo", "het hieu luc")
+EXPIRED = "het hieu luc toan bo"
 
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _folds() -> dict[str, str]:
+    """Lower-case characters whose case folding is another single character; derived."""
+    every = (chr(c) for c in range(0x80, 0x1E944) if not 0xD800 <= c < 0xE000)
+    return {x: x.casefold() for x in every if x == x.lower() and x.casefold() != x and len(x.casefold()) == 1}
+
+
+FOLDS = _folds()
+
+
+def casefolded(text) -> Column:
+    """Case folding: lower case, ß as ss and characters that fold to one other; ligatures and the like stay as they are."""
+    return F.translate(F.replace(F.lower(col(text)), F.lit("ß"), F.lit("ss")), "".join(FOLDS), "".join(FOLDS.values()))
+
+
 def tokens(text) -> Column:
-    """Lower-case runs of letters, digits and underscores, in order, repeats included."""
-    return F.regexp_extract_all(F.replace(F.lower(col(text)), F.lit("ß"), F.lit("ss")), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+    """Case-folded runs of letters, digits and underscores, in order, repeats included."""
+    return F.regexp_extract_all(casefolded(text), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+
+
+def term_runs(terms) -> Column:
+    """(term, tf) of each different term of an array of them, counted within the row: equal neighbours of the sorted array."""
+    runs = F.regexp_extract_all(F.array_join(F.sort_array(terms), " "), F.lit(r"(?<!\S)(\S+)(?: \1(?!\S))*+"), F.lit(0))
+
+    def counted(run):
+        term = F.substring_index(run, " ", 1)
+        return F.struct(term.alias("term"), ((F.char_length(run) + 1) / (F.char_length(term) + 1)).cast("long").alias("tf"))
+
+    return F.transform(runs, counted)
 
 
 def sha256_hex(*parts, sep: str = "|") -> Column:
@@ -38,8 +63,22 @@ def stripped(text) -> Column:
 
 
 def source_date(value) -> Column:
-    """The date that the first ten characters spell, else null."""
-    return F.try_to_date(F.substring(col(value), 1, 10), "yyyy-MM-dd")
+    """The date that the first ten characters spell in an ISO form (calendar or week date, extended or basic), else null.
+
+    Of ten characters, two may follow a whole basic form (the beginning of a time).
+    """
+    s = F.substring(col(value), 1, 10)
+    year = F.left(s, F.lit(4)).try_cast("int")
+    week = F.regexp_extract(s, r"^\d{4}-?W(\d{2})", 1).try_cast("int")
+    day = F.coalesce(F.nullif(F.regexp_extract(s, r"^\d{4}-?W\d{2}-?(\d)", 1), F.lit("")).try_cast("int"), F.lit(1))
+    monday = F.date_trunc("week", F.make_date(year, F.lit(1), F.lit(4))).cast("date")
+    fits = week.between(1, F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))) & day.between(1, 7)
+    return (
+        F.when(s.startswith("0000"), F.lit(None).cast("date"))
+        .when(s.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(s, "yyyy-MM-dd"))
+        .when(s.rlike(r"(?s)^\d{8}(..)?$"), F.try_to_date(F.left(s, F.lit(8)), "yyyyMMdd"))
+        .when(s.rlike(r"(?s)^\d{4}(-W\d{2}(-\d)?|W\d{2}(\d(..)?)?)$") & fits, F.date_add(monday, (week - 1) * 7 + day - 1))
+    )
 
 
 def or_unknown(value) -> Column:
@@ -59,15 +98,9 @@ def bucket_exact(label) -> Column:
 
 
 def bucket_contains(label) -> Column:
-    """Status bucket by what the folded label contains; null labels are unclassified."""
+    """Status bucket by what the folded label contains, full expiry first; null labels are unclassified."""
     f = F.coalesce(folded(label), F.lit(""))
-    return (
-        F.when(f.contains(PARTIAL), "partially_expired")
-        .when(f.contains(FUTURE), "future")
-        .when(f.contains("het hieu luc"), "expired")
-        .when(f.contains(ACTIVE), "active")
-        .otherwise("unclassified")
-    )
+    return F.when(f.contains(EXPIRED), "expired").when(f.contains(PARTIAL), "partially_expired").when(f.contains(FUTURE), "future").when(f.contains(ACTIVE), "active").otherwise("unclassified")
 
 
 def is_selected(label) -> Column:

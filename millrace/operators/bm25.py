@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.text import tokens
+from millrace.functions.text import term_runs, tokens
+
+
+MOST_TERMS_SENT = 2_000_000  # rows (query, term) up to which they are sent to every executor
 
 
 def term_frequencies(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "embed_text") -> DataFrame:
-    """(id, term, tf, len): how often each term occurs, and how many terms the text has."""
+    """(id, term, tf, len): how often each term occurs, and how many terms the text has; counted within each row."""
     rows = chunks.select(id_col, tokens(text_col).alias("terms"))
-    return rows.select(id_col, F.size("terms").cast("long").alias("len"), F.explode("terms").alias("term")).groupBy(id_col, "term", "len").agg(F.count(F.lit(1)).alias("tf")).select(id_col, "term", "tf", "len")
+    rows = rows.select(id_col, F.size("terms").cast("long").alias("len"), F.explode(term_runs("terms")).alias("run"))
+    return rows.select(id_col, "run.term", "run.tf", "len")
 
 
 def collection_stats(chunks: DataFrame, text_col: str = "embed_text") -> DataFrame:
@@ -34,19 +38,33 @@ def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "q
 
 
 def scores(chunks: DataFrame, queries: DataFrame, id_col: str = "chunk_id", text_col: str = "embed_text", query_col: str = "query_id", query_text: str = "query", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(query, keep..., chunk, score) of all chunks that share a term with the query; ``keep``: columns that split the collection."""
+    """(query, keep..., chunk, score) of all chunks that share a term with the query; ``keep``: columns that split the collection.
+
+    One pass over the collection counts documents for each asked term together with the collection's size (under a null
+    term). A second one picks the postings of asked terms and deals them by chunk, so that the weighted terms of all
+    queries meet them evenly and the sums need no exchange of their own.
+    """
     asked = query_terms(queries, query_col, query_text)
-    rows = chunks.select(*keep, id_col, tokens(text_col).alias("terms")).withColumn("len", F.size("terms").cast("long"))
     by = list(keep)
-    stats = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_chunks"), (F.sum("len") / F.greatest(F.lit(1), F.count(F.lit(1)))).alias("avg_len"))
-    found = rows.select(*by, id_col, "len", F.explode("terms").alias("term")).join(asked.select("term").distinct(), "term", "left_semi")
-    postings = found.groupBy(*by, "term", id_col, "len").agg(F.count(F.lit(1)).alias("tf"))
-    df = postings.groupBy(*by, "term").agg(F.count(F.lit(1)).alias("df"))
-    weighted = postings.join(df, [*by, "term"])
-    weighted = weighted.join(stats, by) if by else weighted.crossJoin(F.broadcast(stats))  # one row
-    weighted = weighted.select(*by, "term", id_col, weight(F.col("n_chunks"), F.col("df"), F.col("tf"), F.col("len"), F.col("avg_len")).alias("w"))
+    rows = chunks.select(*by, id_col, tokens(text_col).alias("terms"))
+    small = asked.limit(MOST_TERMS_SENT + 1).count() <= MOST_TERMS_SENT
+
+    def sent(terms: DataFrame) -> DataFrame:
+        """Marked for broadcast if counted to be small; else the join is Spark's to choose."""
+        return F.broadcast(terms) if small else terms
+
+    nothing = F.array(F.lit(None).cast("string"))
+    seen = rows.select(*by, F.size("terms").cast("long").alias("len"), F.explode(F.concat(nothing, F.array_distinct("terms"))).alias("term"))
+    wanted = sent(asked.select("term").distinct().withColumn("asked", F.lit(True)))
+    counts = seen.join(wanted, "term", "left").where("asked OR term IS NULL").groupBy(*by, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("len").alias("total"))
+    stats = counts.where("term IS NULL").select(*by, F.col("df").alias("n_chunks"), (F.col("total") / F.greatest(F.lit(1), F.col("df"))).alias("avg_len"))
+    df = counts.where("term IS NOT NULL").select(*by, "term", "df")
+    known = asked.join(df, "term").join(stats, by) if by else sent(asked.join(df, "term").crossJoin(F.broadcast(stats)))  # one row
+    tf = rows.select(*by, id_col, F.size("terms").cast("long").alias("len"), F.explode(term_runs("terms")).alias("run")).select(*by, id_col, "len", "run.term", "run.tf")
+    postings = tf.join(wanted, "term", "left_semi").repartition(id_col)
+    w = weight(F.col("n_chunks"), F.col("df"), F.col("tf"), F.col("len"), F.col("avg_len"))
     # rounded, so that the order of summation can't decide a tie
-    return asked.join(weighted, "term").groupBy(query_col, *by, id_col).agg(F.round(F.sum("w"), 9).alias("score"))
+    return postings.join(known, [*by, "term"]).groupBy(query_col, *by, id_col).agg(F.round(F.sum(w), 9).alias("score"))
 
 
 def top_k(scored: DataFrame, k: int, id_col: str = "chunk_id", by: tuple[str, ...] = ("query_id",)) -> DataFrame:

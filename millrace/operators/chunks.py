@@ -131,16 +131,29 @@ def coverage_errors(units: DataFrame, documents: DataFrame, chunks: DataFrame) -
     flagged = chunks.withColumn("before", F.lag("source_end").over(w)).withColumn("again", again).join(known, "document_id", "left")
     off = (F.col("source_end") > F.char_length("source_text")) | (slice_text("source_text", "source_start", "source_end") != F.col("content"))
     rules = [
-        ("duplicate chunk ID", F.col("again") > 1),
-        ("chunk provenance mismatch", F.col("own_hash").isNull() | (F.col("own_hash") != F.col("source_hash"))),
-        ("overlapping chunk spans", F.col("source_start") < F.col("before")),
-        ("chunk source offset mismatch", off),
+        ("repeated chunk id", F.col("again") > 1),
+        ("chunk of another source", F.col("own_hash").isNull() | (F.col("own_hash") != F.col("source_hash"))),
+        ("chunk overlaps the one before", F.col("source_start") < F.col("before")),
+        ("content differs from its span", off),
     ]
     broken = F.explode(F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules])))
     told = flagged.select("document_id", F.col("source_start").alias("at"), broken.alias("error"))
-    spans = units.where(~F.col("kind").isin(*UPPER)).select("document_id", "start", "end")
-    held = chunks.select(F.col("document_id").alias("c_document"), F.col("source_start").alias("c_start"), F.col("source_end").alias("c_end"))
-    meets = (F.col("document_id") == F.col("c_document")) & (F.col("c_start") < F.col("end")) & (F.col("c_end") > F.col("start"))
-    covered = F.coalesce(F.sum(F.when(F.col("c_start").isNotNull(), F.least("end", "c_end") - F.greatest("start", "c_start"))), F.lit(0))
-    gaps = spans.join(held, meets, "left").groupBy("document_id", "start", "end").agg(covered.alias("covered")).where(F.col("covered") < F.col("end") - F.col("start"))
-    return told.unionByName(gaps.select("document_id", F.col("start").alias("at"), F.lit("uncovered source span").alias("error")))
+    return told.unionByName(uncovered(units, chunks))
+
+
+def uncovered(units: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(document_id, at, error) for units that chunks cover less than whole.
+
+    The length that chunks cover up to a position is linear between their edges, so running sums over the edges of one
+    document, in order, give it at both ends of every unit: one window, no pairing of units with chunks.
+    """
+    nothing = F.lit(None).cast("int")
+    edges = F.array(F.struct(F.col("source_start").alias("at"), F.lit(1).alias("sign")), F.struct(F.col("source_end").alias("at"), F.lit(-1).alias("sign")))
+    held = chunks.select("document_id", F.explode(edges).alias("e")).select("document_id", "e.at", "e.sign", nothing.alias("side"), nothing.alias("start"), nothing.alias("end"))
+    ends = F.array(F.struct(F.col("start").alias("at"), F.lit(-1).alias("side")), F.struct(F.col("end").alias("at"), F.lit(1).alias("side")))
+    asked = units.where(~F.col("kind").isin(*UPPER)).select("document_id", F.explode(ends).alias("e"), "start", "end").select("document_id", "e.at", F.lit(0).alias("sign"), "e.side", "start", "end")
+    w = W.partitionBy("document_id").orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow)
+    upto = F.col("at") * F.sum("sign").over(w) - F.sum(F.col("sign") * F.col("at")).over(w)
+    sums = held.unionByName(asked).withColumn("upto", upto).where("side IS NOT NULL").groupBy("document_id", "start", "end")
+    short = sums.agg(F.sum(F.col("side") * F.col("upto")).alias("covered"), (F.count(F.lit(1)) / 2).alias("units")).where("covered < (end - start) * units")
+    return short.select("document_id", F.col("start").alias("at"), F.lit("unit not covered").alias("error"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions import html as H
 from millrace.functions import text as T
 from millrace.operators import bm25, chunks, hierarchy, quality_audit, retrieval_metrics, sampling
-from millrace.sources.session import ship_package
+from millrace.sources.session import read_table, ship_package
 from millrace.streaming import sync_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,7 +30,7 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 # --- documents as numbered texts ------------------------------------------------------------------------------------
@@ -53,7 +53,7 @@ def numbered(spark, sf_dir) -> DataFrame:
 
 
 def units_of(spark, sf_dir) -> DataFrame:
-    return hierarchy.parse_units(numbered(spark, sf_dir)).persist()
+    return hierarchy.parse_units(numbered(spark, sf_dir))
 
 
 def documents_of(spark, sf_dir) -> DataFrame:
@@ -67,7 +67,7 @@ def documents_of(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("No. "), "document_id").alias("document_number"),
         F.when(F.col("document_id").cast("long") % 3 > 0, F.concat(F.lit("Title "), "document_id")).alias("title"),
         "source_text",
-    ).persist()
+    )
 
 
 LINES = r"""
@@ -199,10 +199,38 @@ def chunk_split_sink(spark, sf_dir):
     return hier_of(spark, sf_dir).groupBy(sink.alias("sink")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("document_id").alias("n_documents"))
 
 
-@query("SELECT CAST(NULL AS VARCHAR) AS document_id, CAST(NULL AS INT) AS at, CAST(NULL AS VARCHAR) AS error WHERE false")
+def _coverage_sql(source: str) -> str:
+    return f"""
+    judged AS (SELECT c.document_id, c.source_start, c.source_end, c.content, c.source_hash, d.source_hash AS own, d.source_text,
+                      row_number() OVER (PARTITION BY c.document_id, c.chunk_id ORDER BY c.source_start, c.source_end) AS again,
+                      lag(c.source_end) OVER (PARTITION BY c.document_id ORDER BY c.source_start, c.source_end) AS before
+               FROM {source} c JOIN documents_n d ON c.document_id = d.document_id),
+    gaps AS (SELECT u.document_id, u.start, u."end", coalesce(sum(CASE WHEN c.source_start IS NOT NULL THEN least(u."end", c.source_end) - greatest(u.start, c.source_start) END), 0) AS held
+             FROM units u LEFT JOIN {source} c ON u.document_id = c.document_id AND c.source_start < u."end" AND c.source_end > u.start
+             WHERE u.kind NOT IN ('part', 'chapter', 'section') GROUP BY ALL)
+    SELECT document_id, source_start AS at, 'repeated chunk id' AS error FROM judged WHERE again > 1
+    UNION ALL SELECT document_id, source_start, 'chunk of another source' FROM judged WHERE own <> source_hash
+    UNION ALL SELECT document_id, source_start, 'chunk overlaps the one before' FROM judged WHERE source_start < before
+    UNION ALL SELECT document_id, source_start, 'content differs from its span' FROM judged WHERE source_end > length(source_text) OR substr(source_text, source_start + 1, source_end - source_start) <> content
+    UNION ALL SELECT document_id, start, 'unit not covered' FROM gaps WHERE held < "end" - start"""
+
+
+@query(f"WITH {HIER},{_coverage_sql('chunks')}")
 def chunk_coverage_check(spark, sf_dir):
+    """No row: these chunks are sound."""
+    units, docs = units_of(spark, sf_dir), documents_of(spark, sf_dir)
+    return chunks.coverage_errors(units, docs, chunks.hierarchy_chunks(units, docs, SIZE))
+
+
+@query(f"""WITH {HIER}, spoilt AS (SELECT chunk_id, document_id, source_start, source_end, CASE WHEN source_start % 13 = 5 THEN 'x' ELSE source_hash END AS source_hash,
+           CASE WHEN source_start % 11 = 4 THEN content || '!' ELSE content END AS content FROM chunks JOIN (SELECT unnest([1, 2]) AS copy) ON copy = 1 OR source_start % 17 = 6 WHERE source_start % 7 <> 3),{_coverage_sql('spoilt')}""")
+def chunk_coverage_broken(spark, sf_dir):
+    """The same check of chunks that are spoilt by rule: dropped, repeated, of another source, with other content."""
     units, docs = units_of(spark, sf_dir), documents_of(spark, sf_dir)
-    return chunks.coverage_errors(units, docs, chunks.hierarchy_chunks(units, docs, SIZE).persist())
+    at = F.col("source_start")
+    rows = chunks.hierarchy_chunks(units, docs, SIZE).where(at % 7 != 3).withColumn("copy", F.explode(F.when(at % 17 == 6, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    spoilt = rows.withColumn("source_hash", F.when(at % 13 == 5, "x").otherwise(F.col("source_hash"))).withColumn("content", F.when(at % 11 == 4, F.concat("content", F.lit("!"))).otherwise(F.col("content")))
+    return chunks.coverage_errors(units, docs, spoilt)
 
 
 def _windows_sql(variant: str, source: str, limit: int) -> str:
@@ -241,7 +269,7 @@ PLAIN = f"""
     stats AS (SELECT CAST(count(*) AS BIGINT) AS n_chunks, CAST(sum(len(terms)) AS BIGINT) AS total_len, sum(len(terms)) / greatest(1, count(*)) AS avg_len FROM toks),
     df AS (SELECT term, CAST(count(*) AS BIGINT) AS df FROM tf GROUP BY term)"""
 RANKED = f"""{PLAIN},
-    asked AS (SELECT DISTINCT item_id AS query_id, unnest({_TOK.format("left(text, 60)")}) AS term FROM benchmark),
+    asked AS (SELECT DISTINCT item_id AS query_id, unnest({_TOK.format("text")}) AS term FROM benchmark),
     scored AS (SELECT a.query_id, t.chunk_id, round(sum(ln(1.0 + (s.n_chunks::DOUBLE - d.df::DOUBLE + 0.5) / (d.df::DOUBLE + 0.5)) * t.tf::DOUBLE * 2.2::DOUBLE / (t.tf::DOUBLE + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * t.len::DOUBLE / greatest(1.0::DOUBLE, s.avg_len)))), 9) AS score
                FROM asked a JOIN tf t ON a.term = t.term JOIN df d ON d.term = t.term CROSS JOIN stats s GROUP BY 1, 2),
     ranked20 AS (SELECT r.*, p.document_id, p.source_start, p.source_end FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS BIGINT) AS rank FROM scored) r JOIN pieces p ON r.chunk_id = p.chunk_id WHERE rank <= 20)"""
@@ -285,10 +313,11 @@ def gold_of(spark, sf_dir) -> DataFrame:
         return F.when(F.size(found) >= n, F.transform(F.sequence(F.lit(1), F.size(found) - n + 1), lambda i: F.array_join(F.slice(found, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
 
     every = F.array_distinct(F.concat(*[runs(n) for n in sizes if n > 0] or [F.array().cast("array<string>")]))
-    grams = docs.withColumn("found", T.tokens("text")).select("document_id", "text", F.explode(every).alias("key"))
-    hits = grams.join(keyed, "key").drop("key")
+    grams = docs.withColumn("found", T.tokens("text")).select("document_id", F.explode(every).alias("key"))
+    met = grams.join(keyed.select("key", "query_id", "item"), "key").drop("key").distinct()
+    hits = met.join(docs, "document_id")  # texts meet only the pairs that share a key
     if sizes and sizes[0] <= 0:
-        hits = hits.unionByName(docs.crossJoin(items.where(inner <= 0)))
+        hits = hits.unionByName(docs.crossJoin(items.where(inner <= 0)))  # a stated set of queries
     hits = hits.where(F.contains("text", "item")).select("query_id", "document_id", (F.expr("instr(text, item)") - 1).cast("int").alias("start"), F.char_length("item").alias("n")).distinct()
     w = W.partitionBy("query_id").orderBy("document_id", "start")
     blank = [F.lit(None).cast("string").alias(k) for k in retrieval_metrics.KEYS]
@@ -377,6 +406,37 @@ def retrieval_summary(spark, sf_dir):
     return rows.select("variant", "case_count", *[F.round(c, 6).alias(c) for c in rows.columns if c not in ("variant", "case_count")])
 
 
+# --- the three variants of chunks against evidence with citation keys ------------------------------------------------
+
+_BASE_TEXT = "concat_ws(' | ', nullif(document_number, ''), nullif(title, ''), CASE WHEN article <> '' THEN 'article ' || article END, nullif(substr(source_text, source_start + 1, source_end - source_start), ''))"
+VARIANTS = f"""{HIER},
+    wf AS (SELECT *, unnest(generate_series(first, last - 1, 1800)) AS off FROM ({_FIXED}) WHERE last > first),
+    wa AS (SELECT *, unnest(generate_series(first, last - 1, 1800)) AS off FROM ({_ARTICLE}) WHERE last > first),
+    kf AS (SELECT 'fixed' AS variant, document_id, source_hash, CAST(off AS INT) AS source_start, CAST(least(off + 1800, last) AS INT) AS source_end, CAST(NULL AS VARCHAR) AS article, document_number, title, source_text FROM wf),
+    ka AS (SELECT 'article' AS variant, document_id, source_hash, CAST(off AS INT) AS source_start, CAST(least(off + 1800, last) AS INT) AS source_end, article, document_number, title, source_text FROM wa),
+    variants AS (SELECT variant, sha256(concat_ws('|', variant, document_id, source_hash, source_start, source_end)) AS chunk_id, document_id, source_start, source_end, {_BASE_TEXT} AS embed_text,
+                        article, CAST(NULL AS VARCHAR) AS clause, CAST(NULL AS VARCHAR) AS point, article IS NOT NULL AS citation_verified FROM (SELECT * FROM kf UNION ALL SELECT * FROM ka)
+                 UNION ALL SELECT 'hierarchy', chunk_id, document_id, source_start, source_end, embed_text, article, clause, point, true FROM chunks WHERE citation_verified)"""
+
+
+def variants_of(spark, sf_dir) -> DataFrame:
+    units, docs = units_of(spark, sf_dir), documents_of(spark, sf_dir)
+    return chunks.variant_union(chunks.fixed_chunks(docs), chunks.article_chunks(units, docs), chunks.hierarchy_chunks(units, docs, SIZE))
+
+
+@query(f"WITH {VARIANTS} SELECT variant, chunk_id, document_id, source_start, source_end, sha256(embed_text) AS text_hash, article, clause, point, citation_verified FROM variants")
+def variant_union(spark, sf_dir):
+    """The chunks of the fixed, article and hierarchy variants, with a digest of what is embedded."""
+    rows = variants_of(spark, sf_dir)
+    return rows.select("variant", "chunk_id", "document_id", "source_start", "source_end", F.sha2(F.col("embed_text").cast("binary"), 256).alias("text_hash"), "article", "clause", "point", "citation_verified")
+
+
+@query(f"WITH {VARIANTS}, t AS (SELECT variant, chunk_id, {_TOK.format('embed_text')} AS terms FROM variants) SELECT variant, CAST(count(*) AS BIGINT) AS n_chunks, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM t GROUP BY 1")
+def variant_sizes(spark, sf_dir):
+    rows = variants_of(spark, sf_dir).select("variant", F.size(T.tokens("embed_text")).cast("long").alias("n"))
+    return rows.groupBy("variant").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("n").alias("n_terms"))
+
+
 def unit_gold(spark, sf_dir) -> DataFrame:
     """Evidence built from units: every third asks for a wrong article or reaches beyond its unit."""
     units = units_of(spark, sf_dir).where("kind = 'clause'")
@@ -587,19 +647,29 @@ def status_bucket_exact(spark, sf_dir):
     return _statuses(spark, sf_dir).select("doc_id", T.folded("s").alias("folded"), T.bucket_exact("s").alias("bucket"), F.coalesce(T.is_selected("s"), F.lit(False)).alias("selected"))
 
 
-@query(f"SELECT doc_id, CASE WHEN f LIKE '%het hieu luc mot phan%' THEN 'partially_expired' WHEN f LIKE '%chua co hieu luc%' THEN 'future' WHEN f LIKE '%het hieu luc%' THEN 'expired' WHEN f LIKE '%con hieu luc%' THEN 'active' ELSE 'unclassified' END AS bucket FROM (SELECT doc_id, coalesce({_FOLD}, '') AS f FROM (SELECT doc_id, {_STATUS_SQL} AS s FROM labels))")
+@query(f"SELECT doc_id, CASE WHEN f LIKE '%het hieu luc toan bo%' THEN 'expired' WHEN f LIKE '%het hieu luc mot phan%' THEN 'partially_expired' WHEN f LIKE '%chua co hieu luc%' THEN 'future' WHEN f LIKE '%con hieu luc%' THEN 'active' ELSE 'unclassified' END AS bucket FROM (SELECT doc_id, coalesce({_FOLD}, '') AS f FROM (SELECT doc_id, {_STATUS_SQL} AS s FROM labels))")
 def status_bucket_contains(spark, sf_dir):
     return _statuses(spark, sf_dir).select("doc_id", T.bucket_contains("s").alias("bucket"))
 
 
-_ODD_DATE = "CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y/%m/%d') WHEN 1 THEN '' WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00' WHEN 3 THEN '2026-13-45' ELSE strftime(o_orderdate, '%Y-%m-%d') END"
+_ODD_DATE = "CASE o_orderkey % 9 WHEN 0 THEN strftime(o_orderdate, '%Y/%m/%d') WHEN 1 THEN '' WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00' WHEN 3 THEN '2026-13-45' WHEN 4 THEN strftime(o_orderdate, '%Y%m%d') WHEN 5 THEN strftime(o_orderdate, '%Y') || '-W' || lpad(CAST(o_orderkey // 9 % 55 AS VARCHAR), 2, '0') || '-' || (o_orderkey // 7 % 9) WHEN 6 THEN strftime(o_orderdate, '%Y') || 'W' || lpad(CAST(o_orderkey // 9 % 55 AS VARCHAR), 2, '0') ELSE strftime(o_orderdate, '%Y-%m-%d') END"
+_WEEK_OF = "date_trunc('week', make_date(CAST(left(s, 4) AS INT), 1, 4))"
+_WEEK = "CAST(regexp_extract(s, 'W([0-9][0-9])', 1) AS INT)"
+_DAY = "coalesce(CAST(nullif(regexp_extract(s, 'W[0-9][0-9]-?([0-9])$', 1), '') AS INT), 1)"
+_PARSED = f"""CASE WHEN regexp_matches(s, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}(T|$)') THEN try_cast(left(s, 10) AS DATE)
+    WHEN regexp_matches(s, '^[0-9]{{8}}$') THEN try_cast(left(s, 4) || '-' || substr(s, 5, 2) || '-' || substr(s, 7, 2) AS DATE)
+    WHEN regexp_matches(s, '^[0-9]{{4}}-?W') AND {_WEEK} BETWEEN 1 AND week(make_date(CAST(left(s, 4) AS INT), 12, 28)) AND {_DAY} BETWEEN 1 AND 7 THEN CAST({_WEEK_OF} + to_days(({_WEEK} - 1) * 7 + {_DAY} - 1) AS DATE) END"""
 
 
-@query(f"SELECT o_orderkey, CASE WHEN regexp_matches(left(s, 10), '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN try_cast(left(s, 10) AS DATE) END AS parsed, s <> '' AND (CASE WHEN regexp_matches(left(s, 10), '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN try_cast(left(s, 10) AS DATE) END) IS NULL AS invalid FROM (SELECT o_orderkey, {_ODD_DATE} AS s FROM orders)")
+@query(f"SELECT o_orderkey, {_PARSED} AS parsed, s <> '' AND ({_PARSED}) IS NULL AS invalid FROM (SELECT o_orderkey, {_ODD_DATE} AS s FROM orders)")
 def date_validation(spark, sf_dir):
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    kind = F.col("o_orderkey") % 5
-    odd = F.when(kind == 0, F.date_format("o_orderdate", "yyyy/MM/dd")).when(kind == 1, "").when(kind == 2, F.concat(day, F.lit("T00:00:00"))).when(kind == 3, "2026-13-45").otherwise(day)
+    key = F.col("o_orderkey")
+    week = F.lpad((F.floor(key / 9) % 55).cast("string"), 2, "0")
+    forms = {0: F.date_format("o_orderdate", "yyyy/MM/dd"), 1: F.lit(""), 2: F.concat(day, F.lit("T00:00:00")), 3: F.lit("2026-13-45"), 4: F.date_format("o_orderdate", "yyyyMMdd")}
+    forms[5] = F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-W"), week, F.lit("-"), (F.floor(key / 7) % 9).cast("string"))
+    forms[6] = F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("W"), week)
+    odd = F.coalesce(*[F.when(key % 9 == k, v) for k, v in forms.items()], day)
     rows = table(spark, sf_dir, "orders").select("o_orderkey", odd.alias("s"))
     return rows.select("o_orderkey", T.source_date("s").alias("parsed"), ((F.col("s") != "") & T.source_date("s").isNull()).alias("invalid"))
 
@@ -622,12 +692,12 @@ def log_of(spark, sf_dir) -> DataFrame:
 
 
 def actions_of(spark, sf_dir) -> DataFrame:
-    """Events as actions: the event id decides whether a source was seen, completed or left pending."""
-    action = F.when(F.col("event_id") % 3 == 0, "completed").when(F.col("event_id") % 3 == 1, "seen").otherwise("pending")
+    """Events as actions: the event id decides whether a source was seen, completed or left pending; odd sources never complete."""
+    action = F.when((F.col("event_id") % 3 == 0) & (F.col("user_id") % 2 == 0), "completed").when(F.col("event_id") % 3 == 1, "seen").otherwise("pending")
     return table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("source_id"), F.col("event_id").alias("seq"), action.alias("action"))
 
 
-_ACTIONS = "acts AS (SELECT CAST(user_id AS VARCHAR) AS source_id, event_id AS seq, CASE event_id % 3 WHEN 0 THEN 'completed' WHEN 1 THEN 'seen' ELSE 'pending' END AS action FROM events)"
+_ACTIONS = "acts AS (SELECT CAST(user_id AS VARCHAR) AS source_id, event_id AS seq, CASE WHEN event_id % 3 = 0 AND user_id % 2 = 0 THEN 'completed' WHEN event_id % 3 = 1 THEN 'seen' ELSE 'pending' END AS action FROM events)"
 _FOLDED = f"{_ACTIONS}, folded AS (SELECT source_id, true AS seen, bool_or(action = 'completed') AS completed, coalesce(max(CASE WHEN action = 'pending' THEN seq END) > coalesce(max(CASE WHEN action = 'completed' THEN seq END), -1), false) AS pending FROM acts GROUP BY 1)"
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -13,3 +13,13 @@ def ship_package(spark: SparkSession) -> None:
     path = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
     if root not in path.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, path) if x)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table; one with fewer file splits than the session has cores is dealt out over them first.
+
+    Such a table is small (at most one split of ``spark.sql.files.maxPartitionBytes`` a core), and often one row group.
+    """
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)

@@ -64,9 +64,9 @@ def test_chunks_tile_the_units(spark):
     assert "".join(t for t, r in zip(texts, rows) if r["clause"] == "1" and r["point"] is None) == docs[0][2] + "\n" + docs[0][3]
     assert rows[-2]["embed_text"] == "No | chapter:1 / article:1 / clause:1 / point:a | Điều 1. Tên | " + docs[0][2] + " | a) điểm"
     assert not rows[-1]["citation_verified"] and rows[-1]["warnings"] == ["unverified_citation_path"]
-    assert {e["error"] for e in chunks.coverage_errors(units, meta, made.limit(0)).collect()} == {"uncovered source span"}
+    assert {e["error"] for e in chunks.coverage_errors(units, meta, made.limit(0)).collect()} == {"unit not covered"}
     twice = {e["error"] for e in chunks.coverage_errors(units, meta, made.unionByName(made)).collect()}
-    assert {"duplicate chunk ID", "overlapping chunk spans"} <= twice
+    assert {"repeated chunk id", "chunk overlaps the one before"} <= twice
     with pytest.raises(ValueError):
         chunks.fixed_chunks(meta, 0)
 
