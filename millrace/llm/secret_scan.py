@@ -87,12 +87,12 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str
     def worker():
         scanner = Scanner(rules)
 
-        def handle(text, _):
+        def handle(text, null):
             found = scanner.scan(text)
             kinds = [r.kind for r in rules]
             made = {"secrets": pa.array([[{"kind": kinds[k], "start": s, "end": e} for s, k, e in x] for x in found], pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))}
             if redact is not None:
-                made[text_col] = pa.array([redacted(t, x, redact) if x else t for t, x in zip(text.to_pylist(), found)], pa.string())
+                made[text_col] = pa.array([redacted(t, x, redact) if x else t for t, x in zip(text.to_pylist(), found)], pa.string(), mask=null.to_numpy(zero_copy_only=False))
             return made
 
         return handle

@@ -22,9 +22,14 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset, a session that runs in one process (master ``local``) takes a local folder; a cluster has to name one.
+    """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = os.environ.get("MILLRACE_LOCAL_CHECKPOINTS") or tempfile.mkdtemp(prefix="millrace-")
         os.environ["MILLRACE_LOCAL_CHECKPOINTS"] = conf
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -32,9 +37,21 @@ def shared_root(spark: SparkSession) -> str:
     return conf
 
 
+_made: list[str] = []
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared root."""
-    return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete the folders of tables that this session wrote; results that still read them must have been saved before."""
+    jvm = spark.sparkContext._jvm
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -60,42 +77,71 @@ def quoted(name: str):
 
 def map_text(
     docs: DataFrame,
-    worker: Callable[[], Callable[[pa.LargeStringArray, pa.RecordBatch], dict[str, pa.Array]]],
+    worker: Callable[[], Callable[[pa.LargeStringArray, pa.BooleanArray], dict[str, pa.Array]]],
     out: T.StructType,
     text_col: str = "text",
     carry: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """One output row per input row: the carried columns and what ``worker()`` makes of the text column.
 
-    Only the carried columns and the text leave the scan. Null texts arrive as empty. A carried column
-    whose name is also a result column is replaced by the result.
+    Only the carried columns and the text leave the scan, the text once if it is carried too. Null texts arrive as empty, with a
+    mask that tells them.
+    A carried column whose name is also a result column is replaced by the result; ``reserved`` keeps all of them.
     """
-    carry = tuple(c for c in carry if c not in out.names)
-    picked = docs.select(*[quoted(c) for c in carry], quoted(text_col).cast("string").alias("__text"))
-    schema = T.StructType([*picked.schema.fields[: len(carry)], *out.fields])
+    own = text_col in carry and docs.schema[text_col].dataType == T.StringType()
+    sent = tuple(c for c in carry if c not in out.names or (own and c == text_col))
+    kept = [k for k, c in enumerate(sent) if c not in out.names]
+    picked = docs.select(*[quoted(c) for c in sent], *([] if own else [quoted(text_col).cast("string").alias("__text")]))
+    at = sent.index(text_col) if own else len(sent)
+    schema = T.StructType([*(picked.schema.fields[k] for k in kept), *out.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         handle = worker()
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            text = batch.column(len(carry)).cast(pa.large_string()).fill_null("")
-            made = handle(text, batch)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], *[made[n] for n in out.names]], [*carry, *out.names])
+            text = batch.column(at).cast(pa.large_string())
+            made = handle(text.fill_null(""), text.is_null())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *(made[n] for n in out.names)], [*(sent[k] for k in kept), *out.names])
 
     return picked.mapInArrow(run, schema)
 
 
+def reserved(docs: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """(the rows under names that no operator uses, the name of each column there, what gives the columns their names back)."""
+    names = {c: f"__in{k}" for k, c in enumerate(docs.columns)}
+    held = docs.select(*[quoted(c).alias(n) for c, n in names.items()])
+    return held, names, lambda df: df.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def distinct_edges(edges: DataFrame) -> DataFrame:
     """Undirected links as (u < v), once each."""
     return edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+HUB_LINKS = 512  # links of one node that a task takes, at least
+MOST_HUBS = 1_000_000  # rows (node, parts) that are ever broadcast
+
+
+def _with_least(links: DataFrame, hub: int) -> DataFrame:
+    """(u, v, low): links with the least ``v`` of their ``u``.
+
+    Nodes of more than ``hub`` links are dealt in parts by ``v``. There are fewer of them than links / ``hub``, which
+    bounds what is broadcast.
+    """
+    least = links.groupBy("u").agg(F.min("v").alias("low"), F.ceil(F.count(F.lit(1)) / hub).cast("int").alias("parts"))
+    hubs = least.where("parts > 1").select(F.col("u").alias("hub"), F.col("parts").alias("of"))
+    dealt = links.join(F.broadcast(hubs), F.col("u") == F.col("hub"), "left").select("u", "v", F.coalesce(F.pmod(F.xxhash64("v"), F.col("of")).cast("int"), F.lit(0)).alias("part"))
+    copies = least.select("u", "low", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return dealt.join(copies, ["u", "part"]).select("u", "v", "low")
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 60, hub_links: int = HUB_LINKS) -> DataFrame:
     """(node, component) for every node of the undirected links (u, v); component is its smallest reachable node.
 
     Large-star and small-star steps alternate until the links no longer change; they end as stars around
-    the smallest node. Each round is cut by a reliable checkpoint. Null links are ignored; no link gives no row.
+    the smallest node. Each round is cut by a reliable checkpoint; the centre of a large star is dealt over several tasks.
+    Null links are ignored; no link gives no row.
     """
     now = cut(distinct_edges(edges.where("u IS NOT NULL AND v IS NOT NULL")))
     stamp = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
@@ -103,15 +149,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     if state[0] == 0:
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(max_rounds):
+        hub = max(hub_links, 2 * state[0] // MOST_HUBS)
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = distinct_edges(large)
+        # large star: every node hands its larger neighbours to the least of them and itself
+        large = _with_least(both, hub).where("v > u").select(F.least("low", "u").alias("u"), "v").where("u < v").distinct()
         # small star: every node hands its smaller neighbours to the smallest of them
-        down = large.select(F.col("v").alias("u"), F.col("u").alias("v"))  # u is the larger end
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        now = cut(distinct_edges(small.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+        down = _with_least(large.select(F.col("v").alias("u"), F.col("u").alias("v")), hub)
+        ends = F.array(F.struct(F.col("low").alias("u"), F.col("v").alias("v")), F.struct(F.col("low").alias("u"), F.col("u").alias("v")))
+        now = cut(down.select(F.explode(ends).alias("e")).select("e.u", "e.v").where("u < v").distinct())
         after = now.agg(F.count(F.lit(1)), stamp).first()
         if tuple(after) == tuple(state):
             break

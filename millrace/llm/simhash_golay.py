@@ -12,7 +12,8 @@ classes are joined to the documents again at the end. Components come from distr
 
 Defined cases: null and empty texts have no words and fingerprint zero, which links like any other; fewer words than a
 shingle are one shingle; a bit set in exactly half of the shingles is 0; repeated ids and rows share a component; null
-ids keep their row and take the component of their fingerprint's smallest id; extra columns are not read.
+ids keep their row and take the component of their fingerprint's smallest id; an empty table gives no row; extra columns
+are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import textvec as tv
-from millrace.llm.shared import connected_components, cut, map_text, ship_package
+from millrace.llm.shared import connected_components, cut, map_text, reserved, ship_package
 
 SEGMENTS, SEGMENT_BITS, MOST_ERRORS = 4, 16, 3
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, of the (23, 12) Golay code
@@ -64,6 +65,8 @@ def neighbour_indices(index: np.ndarray) -> list[list[int]]:
     return [sorted(set(row)) for row in around.tolist()]
 
 
+HUB_ROWS = 200_000  # rows of one fingerprint that a task takes, at least; fewer fingerprints than rows / HUB_ROWS have more
+
 #: (equal segment, segment with at most one error)
 PAIRS = [(i, j) for i in range(SEGMENTS) for j in range(SEGMENTS) if i != j]
 
@@ -141,16 +144,29 @@ def near_pairs(prints: DataFrame, most_errors: int = MOST_ERRORS) -> DataFrame:
     return one.join(many, "key").where((F.col("a") < F.col("b")) & (gap <= most_errors)).select("a", "b", gap.alias("distance")).distinct()
 
 
-def simhash_components(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3, most_errors: int = MOST_ERRORS) -> DataFrame:
-    """(id, simhash, component_id): component_id is the smallest id that links reach, the document's own included."""
-    each = cut(fingerprints(docs, text_col, (id_col,), shingle))
+def class_components(each: DataFrame, id_col: str, most_errors: int = MOST_ERRORS) -> DataFrame:
+    """(simhash, component, component_id) of rows (id, simhash): ``component`` is the least fingerprint that links reach."""
     classes = cut(each.groupBy("simhash").agg(F.min(id_col).alias("least")))
     links = near_pairs(classes, most_errors)
     parts = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     joined = classes.join(parts, classes["simhash"] == parts["node"], "left").select("simhash", "least", F.coalesce("component", "simhash").alias("component"))
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = joined.join(least, "component").select("simhash", "component_id")
-    return each.join(named, "simhash").select(id_col, "simhash", "component_id")
+    return cut(joined.join(least, "component").select("simhash", "component", "component_id"))
+
+
+def named_rows(each: DataFrame, named: DataFrame, id_col: str) -> DataFrame:
+    """Rows (id, simhash) with their component_id; one fingerprint may be that of most rows, so it is dealt in parts."""
+    copies = each.groupBy("simhash").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int").alias("of"))
+    told = named.join(copies, "simhash").select("simhash", "component_id", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("part"), "of")
+    hubs = F.broadcast(copies.where("of > 1"))
+    dealt = each.join(hubs, "simhash", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64(id_col), F.col("of")).cast("int"), F.lit(0))).drop("of")
+    return dealt.join(told, ["simhash", "part"]).select(id_col, "simhash", "component_id")
+
+
+def simhash_components(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3, most_errors: int = MOST_ERRORS) -> DataFrame:
+    """(id, simhash, component_id): component_id is the smallest id that links reach, the document's own included."""
+    each = cut(fingerprints(docs, text_col, (id_col,), shingle))
+    return named_rows(each, class_components(each, id_col, most_errors), id_col)
 
 
 def with_hex(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -159,7 +175,20 @@ def with_hex(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The documents without those whose id is never the smallest of its component; rows without an id stay."""
-    found = simhash_components(docs, text_col, id_col)
-    gone = found.groupBy(id_col).agg(F.bool_or(F.col("component_id") == F.col(id_col)).alias("stays")).where("NOT stays").select(id_col)
-    return docs.join(gone, id_col, "left_anti")
+    """Of each component the row with the smallest id, all its columns as they are, whatever their names.
+
+    Of rows that repeat that id, the one with the least text stays (null counts as empty); rows without an id stay only
+    where their component has no id, one of them. Texts of rows with an id of their own are read once and not grouped.
+    """
+    held, names, back = reserved(docs)
+    text, key = names[text_col], names[id_col]
+    each = cut(fingerprints(held, text, (key,)))
+    named = class_components(each, key)
+    per_id = cut(named_rows(each.where(F.col(key).isNotNull()), named, key).groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("component_id") == F.col(key)).alias("stays")).where("n > 1 OR NOT stays"))
+    odd = per_id.where("n > 1").select(key)
+    regular = held.where(F.col(key).isNotNull()).join(per_id.select(key), key, "left_anti")
+    doubtful = held.where(F.col(key).isNull()).unionByName(held.join(odd, key, "left_semi"))
+    row = F.struct(*names.values())
+    judged = fingerprints(doubtful, text, tuple(names.values())).join(named, "simhash").where(F.col("component_id").isNull() | (F.col("component_id") == F.col(key)))
+    one = judged.groupBy("component").agg(F.min_by(row, F.coalesce(F.col(text), F.lit(""))).alias("row")).select("row.*")
+    return back(regular.select(*names.values()).unionByName(one))

@@ -82,3 +82,58 @@ def test_every_token_is_packed_once(stages):
 
 def test_digest_of_a_mark():
     assert re.fullmatch(r"\[\w+\]", corpus_pipeline.REDACTED) and hashlib.sha256(b"").hexdigest()
+
+
+CLASHING = "doc_id long, text string, score double, predicted string, items array<int>, secrets string, `a.b` int, simhash int, component_id string, n_words int, row int, __in0 int"
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    here = tmp_path_factory.mktemp("clash")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{here}/{name}.parquet")
+    return str(here)
+
+
+def row(i, text):
+    return (i, text, -7.0, "p", [1, 2], "mine", 3, 4, "c", 5, 6, 7)
+
+
+def run_stages(spark, docs, folder):
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        made = stage(spark, docs, folder)
+        assert made.schema.simpleString() == docs.schema.simpleString()
+        docs = spark.createDataFrame(made.collect(), docs.schema)
+    return docs
+
+
+def test_other_columns_come_through_whatever_their_names(spark, tables):
+    text = "one two three four five six seven eight nine ten " * 3
+    given = [row(1, text + "password=hunter2hunter2"), row(2, text + "and a very different ending of the text here " * 5), row(3, None)]
+    left = run_stages(spark, spark.createDataFrame(given, CLASHING), tables).collect()
+    assert sorted(r["doc_id"] for r in left) == [1, 2, 3]
+    assert all(tuple(r)[2:] == given[0][2:] for r in left)
+    assert {r["doc_id"]: r["text"] for r in left}[1].endswith(corpus_pipeline.REDACTED) and {r["doc_id"]: r["text"] for r in left}[3] is None
+
+
+def test_repeated_rows_and_ids_leave_one(spark, tables):
+    text, other = "a b c d e f g h i j k l m n o p", "quite another text that shares nothing with the first one at all"
+    given = [row(1, text), row(1, text), row(2, text), row(None, text), row(5, other), row(5, other), row(5, text), row(None, "q r s t u v"), row(None, "q r s t u v")]
+    left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(given, CLASHING), tables).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == sorted([(1, text), (5, other), (0, "q r s t u v")])
+
+
+def test_empty_table_and_a_stage_that_keeps_nothing(spark, tables):
+    none = spark.createDataFrame([], CLASHING)
+    assert run_stages(spark, none, tables).count() == 0 and corpus_pipeline.pack_documents(spark, none, tables).count() == 0
+    item = spark.read.parquet(f"{tables}/benchmark.parquet").first()["text"]
+    docs = spark.createDataFrame([row(1, item)], CLASHING)
+    assert corpus_pipeline.drop_contaminated(spark, docs, tables).count() == 0
+
+
+def test_hot_stars_are_dealt_without_loss(spark):
+    from millrace.llm.shared import connected_components
+
+    links = [(7, k) for k in range(1000, 1400)] + [(1399, 5), (5, 6), (2000, 2001), (2001, 2002)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(links, "u long, v long"), hub_links=16).collect()}
+    assert got == {**{k: 5 for k in (5, 6, 7, *range(1000, 1400))}, **{k: 2000 for k in (2000, 2001, 2002)}}
