@@ -3,10 +3,14 @@
 A rotation is three rounds of random signs and a fast Hadamard transform; its hash is the signed axis that is nearest to
 the rotated vector. A table's bucket joins ``functions`` such hashes. A vector stands in its own bucket of each table
 and also looks into the ``probes`` buckets that come next by the projections it would have to give up. Vectors that are
-equal are hashed once. Buckets where nothing can meet are dropped before any vector is sent; the others are cut into
-blocks of bounded size, and every two blocks of a bucket are compared by one matrix product in double precision, so no
-pair is ever a row. A pair that meets in several buckets counts in the least of them alone. Each block returns
-its members' link counts and a spanning star of each group of links; components follow by star contraction.
+equal are hashed once, and their keys travel beside them. Buckets where nothing can meet are dropped before any vector
+is sent; the others are cut into blocks of bounded size, and every two blocks of a bucket are compared by matrix products
+in double precision, so no pair is ever a row. A pair that meets in several buckets counts in the first table where it
+does, there in the least bucket. Each pair of blocks returns its members' link counts and a spanning star of each group
+of links; components follow by star contraction.
+
+A group of n near copies costs n squared products, as each vector's links have to be counted, and sends its vectors n /
+``BLOCK`` times; equal vectors cost one.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing and are their
 own component; vectors of different lengths link with nothing of another length; rows without an id keep their
@@ -24,9 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textvec as tv
-from millrace.llm.shared import connected_components, cut, quoted, ship_package
+from millrace.llm.shared import connected_components, cut, join_dealt, quoted, ship_package
 
-BLOCK = 512
+BLOCK = 4096  # members of a bucket that are compared with one another, or with as many others, in one step
+TILE = 512  # of them at once
+HOT_COPIES = 50_000  # rows of one vector that a task takes, at least
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -41,7 +47,10 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 class CrossPolytope:
-    """Bucket keys of unit vectors: own buckets (rows by table), and those to probe (rows by table by probe)."""
+    """Bucket keys of unit vectors: own buckets (rows by table), and those to probe (rows by table by probe).
+
+    A key has 32 bits. Different buckets of a table may share one; all that follows goes by keys, so they are one bucket.
+    """
 
     def __init__(self, width: int, tables: int, functions: int, probes: int, seed: int):
         self.width, self.tables, self.functions, self.probes = width, tables, functions, probes
@@ -53,8 +62,8 @@ class CrossPolytope:
 
     def keys(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(unit)
-        own = np.zeros((n, self.tables), np.uint64)
-        near = np.zeros((n, self.tables, self.probes), np.uint64)
+        own = np.zeros((n, self.tables), np.uint32)
+        near = np.zeros((n, self.tables, self.probes), np.uint32)
         padded = np.zeros((n, self.padded))
         padded[:, : self.width] = unit
         most = min(self.probes + 1, self.padded)
@@ -65,8 +74,10 @@ class CrossPolytope:
                 for s in self.signs[t, k]:
                     y = hadamard(y * s)
                 size = np.abs(y)
-                top = np.argsort(-size, axis=1, kind="stable")[:, :most]
+                top = np.argpartition(-size, most - 1, axis=1)[:, :most] if most < self.padded else np.tile(np.arange(self.padded), (n, 1))
                 part = np.take_along_axis(size, top, axis=1)
+                order = np.argsort(-part, axis=1, kind="stable")
+                top, part = np.take_along_axis(top, order, axis=1), np.take_along_axis(part, order, axis=1)
                 axes.append(2 * top + (np.take_along_axis(y, top, axis=1) > 0))
                 loss.append(part[:, :1] ** 2 - part**2)
             choices = self.choices[(self.choices < most).all(axis=1)]
@@ -75,6 +86,7 @@ class CrossPolytope:
             code = np.full((n, best.shape[1]), t * 1_000_003 + self.width * 7919, np.uint64)
             for k in range(self.functions):
                 code = tv.mix(code * np.uint64(1 << 20) + np.take_along_axis(axes[k], choices[best][:, :, k], axis=1).astype(np.uint64))
+            code = (code >> np.uint64(32)).astype(np.uint32)
             own[:, t] = code[:, 0]
             near[:, t] = code[:, 1:] if best.shape[1] == self.probes + 1 else np.pad(code[:, 1:], ((0, 0), (0, self.probes + 1 - best.shape[1])), mode="edge")
         return own, near
@@ -102,48 +114,70 @@ def valid_vector(vector):
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
-def bucket_rows(classes: DataFrame, hasher: dict) -> DataFrame:
-    """(bucket, id, own): a row for each own and each probed bucket of each class."""
+def hashed(classes: DataFrame, hasher: dict) -> DataFrame:
+    """The classes (id, copies, vector) with ``keys``: own keys and those to probe, as little-endian bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[int, CrossPolytope] = {}
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for rows, unit in _matrix(batch.column(1)):
+            keys: list[bytes] = [b""] * batch.num_rows
+            for rows, unit in _matrix(batch.column(2)):
                 width = unit.shape[1]
                 made.setdefault(width, CrossPolytope(width, **hasher))
                 for at in range(0, len(rows), 2048):
                     own, near = made[width].keys(unit[at : at + 2048])
-                    name = ids[rows[at : at + 2048]]
-                    every = np.concatenate([own.ravel(), near.ravel()]).view(np.int64)
-                    who = np.concatenate([np.repeat(name, own.shape[1]), np.repeat(name, near.shape[1] * near.shape[2])])
-                    is_own = np.arange(len(every)) < own.size
-                    yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(who), pa.array(is_own)], ["bucket", "id", "own"])
+                    flat = np.concatenate([own, near.reshape(len(near), -1)], axis=1)
+                    for r, raw in zip(rows[at : at + 2048].tolist(), flat):
+                        keys[r] = raw.tobytes()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], ["id", "copies", "vector", "keys"])
 
-    return classes.select("id", "vector").mapInArrow(run, "bucket long, id long, own boolean").groupBy("bucket", "id").agg(F.max("own").alias("own"))
+    kind = classes.schema["vector"].dataType.simpleString()
+    return classes.select("id", "copies", "vector").mapInArrow(run, f"id long, copies long, vector {kind}, keys binary")
 
 
-def links_of(bucket: int, pair: tuple[int, int], block: np.ndarray, own: np.ndarray, unit: np.ndarray, keys: tuple[np.ndarray, np.ndarray], threshold: float):
-    """(a, b, counts here): linked pairs of members, and which of them have no lesser bucket in common."""
-    left, right = np.flatnonzero(block == pair[0]), np.flatnonzero(block == pair[1])
-    found = []
-    for at in range(0, len(left), BLOCK):
-        rows = left[at : at + BLOCK]
-        good = unit[rows] @ unit[right].T >= threshold
-        good &= own[rows][:, None] | own[right][None, :]
-        a, b = np.nonzero(good)
-        found.append((rows[a], right[b]))
-    a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
-    if pair[0] == pair[1]:
-        a, b = a[a < b], b[a < b]
-    base, every = keys[0], np.concatenate([keys[0][:, :, None], keys[1]], axis=2)
-    least = np.zeros(len(a), bool)
-    for at in range(0, len(a), 20_000):
-        x, y = a[at : at + 20_000], b[at : at + 20_000]
-        top = np.uint64(2**64 - 1)
-        first = np.minimum(np.where((every[y] == base[x][:, :, None]).any(axis=2), base[x], top).min(axis=1), np.where((every[x] == base[y][:, :, None]).any(axis=2), base[y], top).min(axis=1))
-        least[at : at + 20_000] = first == np.uint64(bucket & (2**64 - 1))
-    return a, b, least
+def _keys(column: pa.Array, tables: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(own, near) of a column of keys."""
+    raw = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    width = tables * (1 + probes)
+    flat = np.frombuffer(b"".join(raw.to_pylist()), np.uint32).reshape(-1, width)
+    return flat[:, :tables], flat[:, tables:].reshape(-1, tables, probes)
+
+
+def bucket_rows(classes: DataFrame, tables: int, probes: int) -> DataFrame:
+    """(bucket, id, own): a row for each own and each probed bucket of each class; a bucket is table and key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.arange(tables, dtype=np.int64) << 32
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for at in range(0, len(ids), 4096):
+                own, near = _keys(batch.column(1).slice(at, 4096), tables, probes)
+                every = np.concatenate([(own + table).ravel(), (near + table[:, None]).ravel()])
+                who = np.concatenate([np.repeat(ids[at : at + 4096], tables), np.repeat(ids[at : at + 4096], tables * probes)])
+                yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(who), pa.array(np.arange(len(every)) < own.size)], ["bucket", "id", "own"])
+
+    return classes.select("id", "keys").mapInArrow(run, "bucket long, id long, own boolean").groupBy("bucket", "id").agg(F.max("own").alias("own"))
+
+
+def first_met(bucket: int, a: np.ndarray, b: np.ndarray, own: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b), all of which meet in the bucket, meet in no table before and in no lesser bucket of this one."""
+
+    def probes(x, y, t):
+        return (near[x, t] == own[y, t][:, None]).any(axis=1)
+
+    table, key = bucket >> 32, np.uint32(bucket & 0xFFFFFFFF)
+    left = np.arange(len(a))
+    for t in range(table):
+        if not len(left):
+            return left
+        x, y = a[left], b[left]
+        left = left[own[x, t] != own[y, t]]
+        x, y = a[left], b[left]
+        left = left[~(probes(x, y, t) | probes(y, x, t))]
+    x, y = a[left], b[left]
+    other = np.where(own[x, table] == key, own[y, table], own[x, table])  # the only other bucket where they may meet
+    there = np.where(own[x, table] == key, probes(x, y, table), probes(y, x, table))
+    return left[~(there & (other < key))]
 
 
 def stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -160,30 +194,48 @@ def stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = after
 
 
-def compare_blocks(rows: DataFrame, hasher: dict, threshold: float) -> DataFrame:
-    """(id, links, root) from rows (bucket, i, j, block, id, own, copies, vector) that stand sorted by (bucket, i, j)."""
+def links_between(bucket: int, pair: tuple[int, int], block: np.ndarray, own: np.ndarray, unit: np.ndarray, keys: tuple[np.ndarray, np.ndarray], copies: np.ndarray, threshold: float):
+    """(links, root) of the members: linked copies that are counted here, and the least member that these links reach."""
+    n = len(block)
+    left, right = np.flatnonzero(block == pair[0]), np.flatnonzero(block == pair[1])
+    links, root, every = np.zeros(n, np.int64), np.arange(n), np.arange(n)
+    for i in range(0, len(left), TILE):
+        rows = left[i : i + TILE]
+        for j in range(i if pair[0] == pair[1] else 0, len(right), TILE):
+            cols = right[j : j + TILE]
+            good = unit[rows] @ unit[cols].T >= threshold
+            good &= own[rows][:, None] | own[cols][None, :]
+            x, y = np.nonzero(good)
+            a, b = rows[x], cols[y]
+            if pair[0] == pair[1]:
+                a, b = a[a < b], b[a < b]
+            if not len(a):
+                continue
+            here = first_met(bucket, a, b, *keys)
+            a, b = a[here], b[here]
+            links += np.bincount(a, weights=copies[b], minlength=n).astype(np.int64) + np.bincount(b, weights=copies[a], minlength=n).astype(np.int64)
+            root = stars(n, np.concatenate([a, every]), np.concatenate([b, root]))
+    return links, root
+
+
+def compare_blocks(rows: DataFrame, tables: int, probes: int, threshold: float) -> DataFrame:
+    """(id, links, root) from rows (bucket, i, j, block, id, own, copies, vector, keys) that stand sorted by (bucket, i, j)."""
 
     def solve(group: pa.Table):
         bucket, i, j = (group.column(n)[0].as_py() for n in ("bucket", "i", "j"))
+        if group.num_rows < 2:
+            return
         ids, copies = group.column("id").to_numpy(), group.column("copies").to_numpy()
         block, own = group.column("block").to_numpy(), group.column("own").to_numpy()
+        keys = None
         for sel, unit in _matrix(group.column("vector")):
             if len(sel) < 2:
                 continue
-            width = unit.shape[1]
-            made.setdefault(width, CrossPolytope(width, **hasher))
-            a, b = _linked_at_all(block[sel], (i, j), unit, own[sel], threshold)
-            if not len(a):
-                continue
-            some = np.unique(np.concatenate([a, b]))  # only those with links are hashed anew
-            keys = made[width].keys(unit[some])
-            a, b, least = links_of(bucket, (i, j), block[sel][some], own[sel][some], unit[some], keys, threshold)
-            root = stars(len(some), a, b)
-            n = copies[sel][some]
-            links = np.bincount(a[least], weights=n[b[least]], minlength=len(some)) + np.bincount(b[least], weights=n[a[least]], minlength=len(some))
-            yield ids[sel][some], links.astype(np.int64), ids[sel][some][root]
-
-    made: dict[int, CrossPolytope] = {}
+            keys = keys or _keys(group.column("keys"), tables, probes)
+            links, root = links_between(bucket, (i, j), block[sel], own[sel], unit, (keys[0][sel], keys[1][sel]), copies[sel], threshold)
+            some = np.flatnonzero(links)
+            if len(some):
+                yield ids[sel][some], links[some], ids[sel][root[some]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -206,17 +258,6 @@ def compare_blocks(rows: DataFrame, hasher: dict, threshold: float) -> DataFrame
     return rows.mapInArrow(run, "id long, links long, root long")
 
 
-def _linked_at_all(block, pair, unit, own, threshold):
-    """Members with links, before it is asked where else they meet."""
-    left, right = np.flatnonzero(block == pair[0]), np.flatnonzero(block == pair[1])
-    good = unit[left] @ unit[right].T >= threshold
-    good &= own[left][:, None] | own[right][None, :]
-    if pair[0] == pair[1]:
-        np.fill_diagonal(good, False)
-    a, b = np.nonzero(good)
-    return left[a], right[b]
-
-
 def _groups(table: pa.Table) -> list[tuple[int, int]]:
     n = table.num_rows
     if not n:
@@ -234,24 +275,27 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.95, tables: in
     """(id, n_links, component_id, kept) for every row."""
     ship_package(vectors.sparkSession)
     hasher = {"tables": tables, "functions": functions, "probes": probes, "seed": seed}
-    every = vectors.select(quoted(id_col).cast("long").alias(id_col), quoted(vector_col).cast("array<double>").alias("vector"))
+    narrow = vectors.select(quoted(vector_col)).schema[0].dataType.simpleString() == "array<float>"
+    kind = "array<float>" if narrow else "array<double>"
+    every = vectors.select(quoted(id_col).cast("long").alias(id_col), quoted(vector_col).cast(kind).alias("vector"))
     usable = valid_vector(F.col("vector")) & quoted(id_col).isNotNull()
-    classes = cut(every.where(usable).groupBy("vector").agg(F.min(id_col).alias("id"), F.count(F.lit(1)).alias("copies")))
-    keys = cut(bucket_rows(classes, hasher))
-    crowded = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("any_own")).where("n > 1 AND any_own").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    placed = keys.join(crowded, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    classes = every.where(usable).groupBy("vector").agg(F.min(id_col).alias("id"), F.count(F.lit(1)).alias("copies"))
+    classes = cut(hashed(classes, hasher))
+    placed = cut(bucket_rows(classes, tables, probes))
+    crowded = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("any_own")).where("n > 1 AND any_own").select("bucket", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    met = join_dealt(placed, crowded, "bucket", "id", BLOCK).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = placed.withColumn("o", other).select("bucket", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "id", "own")
-    rows = paired.join(classes, "id").select("bucket", "i", "j", "block", "id", "own", "copies", "vector")
+    paired = met.withColumn("o", other).select("bucket", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "id", "own")
+    rows = paired.join(classes, "id").select("bucket", "i", "j", "block", "id", "own", "copies", "vector", "keys")
     wide = max(vectors.sparkSession.sparkContext.defaultParallelism, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = cut(compare_blocks(rows.repartition(wide, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"), hasher, threshold))
+    found = cut(compare_blocks(rows.repartition(wide, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"), tables, probes, threshold))
     links = found.groupBy("id").agg(F.sum("links").alias("others"))
     parts = connected_components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
     named = (
         classes.join(links, "id", "left")
         .join(parts, F.col("id") == F.col("node"), "left")
-        .select("vector", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+        .select("vector", F.col("copies").alias("n"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     )
-    good = every.where(usable).join(named, "vector").select(id_col, "n_links", "component_id")
+    good = join_dealt(every.where(usable), named, "vector", id_col, HOT_COPIES).select(id_col, "n_links", "component_id")
     bad = every.where(~F.coalesce(usable, F.lit(False))).select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"))
     return good.unionByName(bad).withColumn("kept", F.coalesce(quoted(id_col) == F.col("component_id"), F.lit(False)))

@@ -119,21 +119,27 @@ def distinct_edges(edges: DataFrame) -> DataFrame:
     return edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct()
 
 
+def join_dealt(rows: DataFrame, told: DataFrame, key: str, by: str, most: int) -> DataFrame:
+    """``rows`` joined with ``told``, which has one row for each key and in ``n`` how many rows have it.
+
+    Keys of more than ``most`` rows are dealt in parts by the column ``by``, however hot they are. There are fewer such
+    keys than rows / ``most``, which bounds what is broadcast.
+    """
+    told = told.withColumn("__of", F.ceil(F.col("n") / most).cast("int"))
+    hubs = told.where("__of > 1").select(F.col(key).alias("__hub"), "__of")
+    part = F.coalesce(F.pmod(F.xxhash64(by), F.col("__of")).cast("int"), F.lit(0))
+    dealt = rows.join(F.broadcast(hubs), F.col(key) == F.col("__hub"), "left").withColumn("__part", part).drop("__hub", "__of")
+    copies = told.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__of") - 1))).drop("__of", "n")
+    return dealt.join(copies, [key, "__part"]).drop("__part")
+
+
 HUB_LINKS = 512  # links of one node that a task takes, at least
 MOST_HUBS = 1_000_000  # rows (node, parts) that are ever broadcast
 
 
 def _with_least(links: DataFrame, hub: int) -> DataFrame:
-    """(u, v, low): links with the least ``v`` of their ``u``.
-
-    Nodes of more than ``hub`` links are dealt in parts by ``v``. There are fewer of them than links / ``hub``, which
-    bounds what is broadcast.
-    """
-    least = links.groupBy("u").agg(F.min("v").alias("low"), F.ceil(F.count(F.lit(1)) / hub).cast("int").alias("parts"))
-    hubs = least.where("parts > 1").select(F.col("u").alias("hub"), F.col("parts").alias("of"))
-    dealt = links.join(F.broadcast(hubs), F.col("u") == F.col("hub"), "left").select("u", "v", F.coalesce(F.pmod(F.xxhash64("v"), F.col("of")).cast("int"), F.lit(0)).alias("part"))
-    copies = least.select("u", "low", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    return dealt.join(copies, ["u", "part"]).select("u", "v", "low")
+    """(u, v, low): links with the least ``v`` of their ``u``."""
+    return join_dealt(links, links.groupBy("u").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("n")), "u", "v", hub)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60, hub_links: int = HUB_LINKS) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import textvec as tv
-from millrace.llm.shared import connected_components, cut, map_text, reserved, ship_package
+from millrace.llm.shared import connected_components, cut, join_dealt, map_text, reserved, ship_package
 
 SEGMENTS, SEGMENT_BITS, MOST_ERRORS = 4, 16, 3
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, of the (23, 12) Golay code
@@ -156,11 +156,8 @@ def class_components(each: DataFrame, id_col: str, most_errors: int = MOST_ERROR
 
 def named_rows(each: DataFrame, named: DataFrame, id_col: str) -> DataFrame:
     """Rows (id, simhash) with their component_id; one fingerprint may be that of most rows, so it is dealt in parts."""
-    copies = each.groupBy("simhash").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int").alias("of"))
-    told = named.join(copies, "simhash").select("simhash", "component_id", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("part"), "of")
-    hubs = F.broadcast(copies.where("of > 1"))
-    dealt = each.join(hubs, "simhash", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64(id_col), F.col("of")).cast("int"), F.lit(0))).drop("of")
-    return dealt.join(told, ["simhash", "part"]).select(id_col, "simhash", "component_id")
+    told = named.join(each.groupBy("simhash").agg(F.count(F.lit(1)).alias("n")), "simhash").select("simhash", "component_id", "n")
+    return join_dealt(each, told, "simhash", id_col, HUB_ROWS).select(id_col, "simhash", "component_id")
 
 
 def simhash_components(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3, most_errors: int = MOST_ERRORS) -> DataFrame:

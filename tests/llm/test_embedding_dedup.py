@@ -1,7 +1,8 @@
 import numpy as np
+import pytest
 
 from millrace.llm import embedding_dedup
-from millrace.llm.embedding_dedup import CrossPolytope, embedding_components, hadamard, stars
+from millrace.llm.embedding_dedup import CrossPolytope, embedding_components, first_met, hadamard, stars
 
 
 def brute(ids, vectors, threshold=0.95):
@@ -44,6 +45,7 @@ def data(rng, d=24):
 
 def test_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)  # so that buckets have several blocks
+    monkeypatch.setattr(embedding_dedup, "HOT_COPIES", 4)
     vectors = data(np.random.default_rng(2))
     vectors += [None, [], [0.0] * 24, [float("nan")] * 24, [None, 1.0], [float("inf")] + [0.0] * 23, vectors[0][:10], vectors[0][:10]]
     ids = [int(i) for i in np.random.default_rng(3).permutation(len(vectors))]
@@ -61,15 +63,34 @@ def test_repeated_and_missing_ids(spark):
     assert embedding_components(table.limit(0)).count() == 0
 
 
-def test_recall_at_the_threshold():
+@pytest.mark.parametrize("width", [16, 64, 384])
+def test_recall_at_the_threshold(width):
     rng = np.random.default_rng(4)
-    a = rng.normal(size=(1500, 64))
+    a = rng.normal(size=(1500, width))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b = np.stack([near(rng, v, 0.9501) for v in a])
-    h = CrossPolytope(64, 16, 3, 4, 7)
+    h = CrossPolytope(width, 16, 3, 4, 7)
     (own, near_a), (other, near_b) = h.keys(a), h.keys(b)
     met = (own == other).any(1) | (own[:, :, None] == near_b).any((1, 2)) | (other[:, :, None] == near_a).any((1, 2))
-    assert met.mean() > 0.995
+    assert met.mean() > 0.99
+
+
+def test_a_pair_counts_in_one_bucket():
+    rng = np.random.default_rng(5)
+    tables, probes, n = 5, 2, 40
+    own = rng.integers(0, 6, size=(n, tables)).astype(np.uint32)
+    reach = rng.integers(0, 6, size=(n, tables, probes)).astype(np.uint32)
+    seen = {}
+    for t in range(tables):
+        for key in range(6):
+            a, b = np.triu_indices(n, 1)
+            at = (own[:, t] == key), (own[:, t] == key) | (reach[:, t] == key).any(1)
+            meet = (at[0][a] & at[1][b]) | (at[0][b] & at[1][a])
+            a, b = a[meet], b[meet]
+            for k in first_met((t << 32) | key, a, b, own, reach):
+                seen[int(a[k]), int(b[k])] = seen.get((int(a[k]), int(b[k])), 0) + 1
+    met = {(i, j) for i in range(n) for j in range(i + 1, n) if any(own[i, t] == own[j, t] or own[j, t] in reach[i, t] or own[i, t] in reach[j, t] for t in range(tables))}
+    assert set(seen) == met and set(seen.values()) == {1}
 
 
 def test_parts():
