@@ -32,6 +32,7 @@ from millrace.llm.shared import connected_components, cut, join_dealt, quoted, s
 
 BLOCK = 4096  # members of a bucket that are compared with one another, or with as many others, in one step
 TILE = 512  # of them at once
+FEW = 64  # members up to which the pairs of many buckets are compared together
 HOT_COPIES = 50_000  # rows of one vector that a task takes, at least
 
 
@@ -159,25 +160,28 @@ def bucket_rows(classes: DataFrame, tables: int, probes: int) -> DataFrame:
     return classes.select("id", "keys").mapInArrow(run, "bucket long, id long, own boolean").groupBy("bucket", "id").agg(F.max("own").alias("own"))
 
 
-def first_met(bucket: int, a: np.ndarray, b: np.ndarray, own: np.ndarray, near: np.ndarray) -> np.ndarray:
-    """Which of the pairs (a, b), all of which meet in the bucket, meet in no table before and in no lesser bucket of this one."""
+def first_met(bucket, a: np.ndarray, b: np.ndarray, own: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) meet in no table before that of ``bucket``, where they meet, and in no lesser bucket of it.
+
+    ``bucket`` is one for all pairs or one for each.
+    """
+    bucket = np.broadcast_to(np.asarray(bucket, np.int64), a.shape)
 
     def probes(x, y, t):
         return (near[x, t] == own[y, t][:, None]).any(axis=1)
 
-    table, key = bucket >> 32, np.uint32(bucket & 0xFFFFFFFF)
+    table, key = bucket >> 32, (bucket & 0xFFFFFFFF).astype(np.uint32)
     left = np.arange(len(a))
-    for t in range(table):
-        if not len(left):
-            return left
+    for t in range(int(table.max(initial=0))):
         x, y = a[left], b[left]
-        left = left[own[x, t] != own[y, t]]
+        left = left[(own[x, t] != own[y, t]) | (table[left] <= t)]
         x, y = a[left], b[left]
-        left = left[~(probes(x, y, t) | probes(y, x, t))]
-    x, y = a[left], b[left]
-    other = np.where(own[x, table] == key, own[y, table], own[x, table])  # the only other bucket where they may meet
-    there = np.where(own[x, table] == key, probes(x, y, table), probes(y, x, table))
-    return left[~(there & (other < key))]
+        left = left[~(probes(x, y, t) | probes(y, x, t)) | (table[left] <= t)]
+    x, y, t, k = a[left], b[left], table[left], key[left]
+    first = own[x, t] == k
+    other = np.where(first, own[y, t], own[x, t])  # the only other bucket where they may meet
+    there = np.where(first, probes(x, y, t), probes(y, x, t))
+    return left[~(there & (other < k))]
 
 
 def stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -218,46 +222,72 @@ def links_between(bucket: int, pair: tuple[int, int], block: np.ndarray, own: np
     return links, root
 
 
+def links_of_few(bucket: np.ndarray, first: np.ndarray, size: np.ndarray, apart: np.ndarray, block: np.ndarray, own: np.ndarray, unit: np.ndarray, keys: tuple[np.ndarray, np.ndarray], copies: np.ndarray, threshold: float):
+    """(links, root) of all rows, from the pairs of many small groups at once: rows first[g] .. first[g] + size[g] - 1 each."""
+    n = len(unit)
+    owner, k = tv.ragged(size)
+    ahead = size[owner] - 1 - k
+    a, step = tv.ragged(ahead)
+    group, a = owner[a], (first[owner] + k)[a]
+    b = a + 1 + step
+    good = (own[a] | own[b]) & (~apart[group] | (block[a] != block[b]))
+    group, a, b = group[good], a[good], b[good]
+    for at in range(0, len(a), 16_384):
+        part = slice(at, at + 16_384)
+        good[at : at + 16_384][: len(a[part])] = np.einsum("ij,ij->i", unit[a[part]], unit[b[part]]) >= threshold
+    good = good[: len(a)]
+    group, a, b = group[good], a[good], b[good]
+    here = first_met(bucket[group], a, b, *keys)
+    a, b = a[here], b[here]
+    links = np.bincount(a, weights=copies[b], minlength=n).astype(np.int64) + np.bincount(b, weights=copies[a], minlength=n).astype(np.int64)
+    return links, stars(n, a, b)
+
+
 def compare_blocks(rows: DataFrame, tables: int, probes: int, threshold: float) -> DataFrame:
     """(id, links, root) from rows (bucket, i, j, block, id, own, copies, vector, keys) that stand sorted by (bucket, i, j)."""
 
-    def solve(group: pa.Table):
-        bucket, i, j = (group.column(n)[0].as_py() for n in ("bucket", "i", "j"))
-        if group.num_rows < 2:
-            return
-        ids, copies = group.column("id").to_numpy(), group.column("copies").to_numpy()
-        block, own = group.column("block").to_numpy(), group.column("own").to_numpy()
-        keys = None
-        for sel, unit in _matrix(group.column("vector")):
-            if len(sel) < 2:
-                continue
-            keys = keys or _keys(group.column("keys"), tables, probes)
-            links, root = links_between(bucket, (i, j), block[sel], own[sel], unit, (keys[0][sel], keys[1][sel]), copies[sel], threshold)
-            some = np.flatnonzero(links)
-            if len(some):
-                yield ids[sel][some], links[some], ids[sel][root[some]]
+    def solved(table: pa.Table):
+        bucket, i, j, ids, copies, block, own = (table.column(n).to_numpy() for n in ("bucket", "i", "j", "id", "copies", "block", "own"))
+        every = _keys(table.column("keys"), tables, probes)
+        bounds = np.array([lo for lo, _ in _groups(table)])
+        group = np.repeat(np.arange(len(bounds)), np.diff(np.append(bounds, table.num_rows)))
+        for sel, unit in _matrix(table.column("vector")):
+            of, size = np.unique(group[sel], return_counts=True)
+            first, keys = np.cumsum(size) - size, (every[0][sel], every[1][sel])
+            at = bounds[of]
+            few = np.flatnonzero((size > 1) & (size <= FEW))
+            parts = [(slice(None), *links_of_few(bucket[at[few]], first[few], size[few], i[at[few]] != j[at[few]], block[sel], own[sel], unit, keys, copies[sel], threshold))]
+            for g in np.flatnonzero(size > FEW).tolist():
+                own_rows = slice(first[g], first[g] + size[g])
+                some = sel[own_rows]
+                parts.append((own_rows, *links_between(int(bucket[at[g]]), (i[at[g]], j[at[g]]), block[some], own[some], unit[own_rows], (keys[0][own_rows], keys[1][own_rows]), copies[some], threshold)))
+            for own_rows, links, root in parts:
+                some, linked = ids[sel[own_rows]], np.flatnonzero(links)
+                if len(linked):
+                    yield pa.RecordBatch.from_arrays([pa.array(some[linked]), pa.array(links[linked]), pa.array(some[root[linked]])], ["id", "links", "root"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def solved(table: pa.Table):
-            out = [x for lo, hi in _groups(table) for x in solve(table.slice(lo, hi - lo))]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["id", "links", "root"])
-
         for batch in batches:
+            if not batch.num_rows:
+                continue
             held.append(batch)
+            if _place(held[0], 0) == _place(batch, batch.num_rows - 1):
+                continue  # still the first group
             table = pa.Table.from_batches(held)
-            bounds = _groups(table)
-            if len(bounds) > 1:  # the last group may go on in the next batch
-                yield from solved(table.slice(0, bounds[-1][0]))
-                held = table.slice(bounds[-1][0]).to_batches()
+            last = _groups(table)[-1][0]  # it may go on in the next batch
+            yield from solved(table.slice(0, last))
+            held = table.slice(last).to_batches()
         if held:
             yield from solved(pa.Table.from_batches(held))
 
     return rows.mapInArrow(run, "id long, links long, root long")
 
 
+def _place(batch: pa.RecordBatch, row: int) -> tuple:
+    return tuple(batch.column(n)[row].as_py() for n in ("bucket", "i", "j"))
+
+
 def _groups(table: pa.Table) -> list[tuple[int, int]]:
     n = table.num_rows
     if not n:

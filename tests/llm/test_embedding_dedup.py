@@ -46,6 +46,8 @@ def data(rng, d=24):
 def test_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)  # so that buckets have several blocks
     monkeypatch.setattr(embedding_dedup, "HOT_COPIES", 4)
+    monkeypatch.setattr(embedding_dedup, "TILE", 5)
+    monkeypatch.setattr(embedding_dedup, "FEW", 9)
     vectors = data(np.random.default_rng(2))
     vectors += [None, [], [0.0] * 24, [float("nan")] * 24, [None, 1.0], [float("inf")] + [0.0] * 23, vectors[0][:10], vectors[0][:10]]
     ids = [int(i) for i in np.random.default_rng(3).permutation(len(vectors))]
