@@ -1,15 +1,19 @@
 """Benchmark decontamination: a prefix-filtered set join of document shingles with benchmark windows.
 
-Every run of ``window`` item words is a set of shingles (up to ``shingle`` words each). Containment of a whole
-window needs all of its shingles, so a single prefix token suffices: the shingle that is rarest in the documents.
-Documents are joined on those tokens only; positional and length bounds place the window around the token, and the
-window's words are then compared exactly. The document side is streamed once for the rarity counts and once for the
-join. The benchmark side is cut into blocks of bounded size; a block travels to the workers as a broadcast, and where
-there are more blocks than one, all documents meet each of them in turn, so no size makes rows drop out.
+Every run of ``window`` item words is a set of shingles (up to ``shingle`` words each). Containment of a whole window
+needs all of its shingles, so a single prefix token suffices: the shingle that is rarest in the documents. One pass over
+the documents counts the benchmark's shingles; a second one picks the occurrences of prefix tokens, each with the words
+around it. Both sides are joined on the token; positional and length bounds place the window around it, and its words
+are compared exactly. A third pass adds the hits to the documents.
+
+Nothing of the benchmark is held by the driver or in whole by a worker: the passes carry a table of bits that tells
+which hashes may matter (its size is bounded, false hits fall out of the join), windows and counts are tables, and
+tokens that occur often are dealt over tasks. Documents with equal texts have equal results, so their occurrences are one row.
 
 Defined cases: null and empty texts have no words (n_words 0, not contaminated); an item of fewer words than a window
 is one window; an item without words has none; repeated items and repeated documents each keep their own rows; items
-with a null id are ignored; extra columns of either table are not read.
+with a null id are ignored; item ids of any type are sorted as strings; extra columns of either table are not read; an
+empty table of documents gives no row, an empty benchmark no hit.
 """
 
 from __future__ import annotations
@@ -18,22 +22,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import textvec as tv
-from millrace.llm.shared import map_text, quoted, ship_package
-
-RESULT = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("n_hit", T.LongType()),
-        T.StructField("n_items", T.LongType()),
-        T.StructField("items_sha256", T.StringType()),
-        T.StructField("contaminated", T.BooleanType()),
-        T.StructField("items", T.ArrayType(T.LongType())),
-    ]
-)
+from millrace.llm.shared import cut, join_dealt, map_text, quoted, ship_package
+
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27  # of a table that tells which hashes may matter
+HOT_TOKENS = 10_000  # occurrences of one token that a task takes, at least
+HOT_TEXTS = 10_000  # documents of one text, likewise
+MOST_SENT = 200_000  # texts with hits, and items in them, up to which they are sent to every executor
+RESULT = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items")
 _SALT = tv.mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -55,174 +56,206 @@ def hashed_words(text: pa.LargeStringArray, limit: int = 1 << 20):
         yield row, tv.span_hashes(tv.prefix_sums(low), starts, ends), first, (low, starts, ends)
 
 
-def shingle_size(n: int, shingle: int) -> int:
-    return min(n, shingle)
-
-
-class WindowBlock:
-    """Windows of the benchmark: one entry for each different run of words, with its items."""
-
-    def __init__(self, window: int, shingle: int):
-        self.window, self.shingle = window, shingle
-        self.words: dict[tuple[bytes, ...], set[int]] = {}
-
-    def add(self, item: int, words: list[bytes]) -> None:
-        n = min(self.window, len(words))
-        for i in range(len(words) - n + 1 if n else 0):
-            self.words.setdefault(tuple(words[i : i + n]), set()).add(item)
-
-    def compile(self) -> dict:
-        """Arrays: word hashes of each window, its shingle tokens, its items."""
-        runs = list(self.words)
-        out = {"runs": runs, "items": [np.array(sorted(self.words[r]), np.int64) for r in runs], "by_length": {}}
-        for n in sorted({len(r) for r in runs}):
-            ids = np.array([i for i, r in enumerate(runs) if len(r) == n], np.int64)
-            grid = np.zeros((len(ids), n), np.uint64)
-            for k, i in enumerate(ids):
-                raw = b" ".join(runs[i])
-                data = np.frombuffer(raw, np.uint8)
-                starts, ends, _ = tv.word_spans(data, np.array([0, len(data)]), tv.WORD_BYTES)
-                grid[k] = tv.span_hashes(tv.prefix_sums(data), starts, ends)
-            s = shingle_size(n, self.shingle)
-            tokens = np.stack([run_hashes(row, s) for row in grid]) if len(ids) else np.zeros((0, n - s + 1), np.uint64)
-            out["by_length"][n] = {"ids": ids, "whole": np.array([run_hashes(row, n)[0] for row in grid], np.uint64), "tokens": tokens, "s": s}
-        return out
-
-
-def index_items(benchmark: DataFrame, window: int, shingle: int, text_col: str, id_col: str, block_windows: int):
-    """Blocks of at most about ``block_windows`` windows; the benchmark is read item by item, never as a whole."""
-    block, pattern_table = WindowBlock(window, shingle), tv.WORD_BYTES
-    for row in benchmark.select(quoted(id_col).cast("long").alias("i"), quoted(text_col).cast("string").alias("t")).where("i IS NOT NULL").toLocalIterator():
-        data = tv.LOWER[np.frombuffer((row["t"] or "").encode(), np.uint8)]
-        starts, ends, _ = tv.word_spans(data, np.array([0, len(data)]), pattern_table)
-        raw = data.tobytes()
-        block.add(row["i"], [raw[s:e] for s, e in zip(starts, ends)])
-        if len(block.words) >= block_windows:
-            yield block.compile()
-            block = WindowBlock(window, shingle)
-    if block.words:
-        yield block.compile()
-
-
-def _filter_bits(keys: np.ndarray) -> np.ndarray:
-    bits = np.zeros(1 << 20, bool)
-    bits[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-    return bits
-
-
-def _lookup(keys: np.ndarray, bits: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ``values`` that hold one of the sorted ``keys``, and which."""
-    at = np.flatnonzero(bits[(values & np.uint64((1 << 20) - 1)).astype(np.int64)])
-    place = np.searchsorted(keys, values[at])
-    place[place == len(keys)] = 0
-    good = keys[place] == values[at]
-    return at[good], place[good]
-
-
-def token_counts(docs: DataFrame, tokens: np.ndarray, sizes: list[int], text_col: str) -> np.ndarray:
-    """How often each benchmark shingle occurs in all documents; counts are summed within each task first."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((tokens, _filter_bits(tokens), sizes))
+def benchmark_windows(benchmark: DataFrame, window: int, text_col: str, id_col: str) -> DataFrame:
+    """(item, run, n): every window of every item, its words joined by blanks."""
 
     def run(batches):
-        keys, bits, sizes_ = shared.value
-        total = np.zeros(len(keys), np.int64)
         for batch in batches:
-            text = batch.column(0).cast(pa.large_string()).fill_null("")
-            for _, words, first, _ in hashed_words(text):
-                for s in sizes_:
-                    runs = run_hashes(words, s)
-                    at, which = _lookup(keys, bits, runs)
-                    doc = np.searchsorted(first, at, side="right") - 1
-                    which = which[at + s <= first[doc + 1]]
-                    total += np.bincount(which, minlength=len(keys))
-        used = np.flatnonzero(total)
-        for lo in range(0, len(used), 50_000):
-            part = used[lo : lo + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["k", "n"])
-
-    rows = docs.select(quoted(text_col).cast("string").alias("t")).mapInArrow(run, "k long, n long").groupBy("k").sum("n").toLocalIterator()
-    out = np.zeros(len(tokens), np.int64)
-    for k, n in rows:
-        out[k] = n
+            text = batch.column(1).cast(pa.large_string()).fill_null("")
+            at, runs, size = [], [], []
+            for row, _, first, (low, starts, ends) in hashed_words(text):
+                raw = low.tobytes()
+                for i in range(len(first) - 1):
+                    words = [raw[s:e].decode() for s, e in zip(starts[first[i] : first[i + 1]].tolist(), ends[first[i] : first[i + 1]].tolist())]
+                    n = min(window, len(words))
+                    made = [" ".join(words[k : k + n]) for k in range(len(words) - n + 1 if n else 0)]
+                    at += [row + i] * len(made)
+                    runs += made
+                    size += [n] * len(made)
+            for lo in range(0, len(at), 20_000):
+                part = slice(lo, lo + 20_000)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at[part])), pa.array(runs[part], pa.string()), pa.array(size[part], pa.int32())], ["item", "run", "n"])
+
+    rows = benchmark.select(quoted(id_col).alias("item"), quoted(text_col).cast("string").alias("t")).where("item IS NOT NULL")
+    return rows.mapInArrow(run, T.StructType([rows.schema["item"], T.StructField("run", T.StringType()), T.StructField("n", T.IntegerType())])).distinct()
+
+
+def window_tokens(runs: DataFrame, shingle: int) -> DataFrame:
+    """(run, n, offset, size, token): the shingles of each different window."""
+
+    def run(batches):
+        for batch in batches:
+            runs, at, offset, size, token = batch.column(0), [], [], [], []
+            for row, words, first, _ in hashed_words(runs.cast(pa.large_string())):
+                for i in range(len(first) - 1):
+                    s = min(shingle, int(first[i + 1] - first[i]))
+                    found = run_hashes(words[first[i] : first[i + 1]], s)
+                    at.append(np.full(len(found), row + i))
+                    offset.append(np.arange(len(found), dtype=np.int32))
+                    size.append(np.full(len(found), s, np.int32))
+                    token.append(found.view(np.int64))
+            if at:
+                owner = pa.array(np.concatenate(at))
+                yield pa.RecordBatch.from_arrays([runs.take(owner), batch.column(1).take(owner), *(pa.array(np.concatenate(x)) for x in (offset, size, token))], ["run", "n", "offset", "size", "token"])
+
+    return runs.select("run", "n").distinct().mapInArrow(run, "run string, n int, offset int, size int, token long")
+
+
+def bit_table(hashes: DataFrame, column: str) -> np.ndarray:
+    """Bits, packed, of the low bits of all these hashes: no false negatives, at most MOST_BITS of them."""
+    total = hashes.count()
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << int(64 * total).bit_length()))
+    slot = F.col(column).bitwiseAND(size - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+    words = hashes.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("bits"))
+    out = np.zeros(size >> 6, np.int64)
+    for w, bits in words.toLocalIterator():
+        out[w] = bits
     return out
 
 
-def choose_prefixes(block: dict, tokens: np.ndarray, counts: np.ndarray) -> list[dict]:
-    """For each window length: sorted prefix tokens with the windows they stand for, and where in the window they are."""
-    plans = []
-    for n, part in block["by_length"].items():
-        grid = part["tokens"]
-        df = counts[np.searchsorted(tokens, grid)]
-        rarest = np.lexsort((grid, df), axis=1)[:, 0] if grid.shape[1] > 1 else np.zeros(len(grid), np.int64)
-        chosen = grid[np.arange(len(grid)), rarest]
-        order = np.argsort(chosen, kind="stable")
-        keys, begin, count = np.unique(chosen[order], return_index=True, return_counts=True)
-        plans.append({"n": n, "s": part["s"], "keys": keys, "bits": _filter_bits(keys), "begin": begin, "count": count, "window": part["ids"][order], "offset": rarest[order], "whole": part["whole"][order]})
-    return plans
-
-
-def _find(words, first, spans, plans, runs):
-    """(document, first word, words, window) of every exact occurrence."""
-    low, starts, ends = spans
-    for p in plans:
-        at, which = _lookup(p["keys"], p["bits"], run_hashes(words, p["s"]))
-        if not len(at):
-            continue
-        owner, k = tv.ragged(p["count"][which])
-        entry = p["begin"][which][owner] + k
-        place = at[owner] - p["offset"][entry]  # positional bound: where the window would have to begin
-        doc = np.searchsorted(first, at[owner], side="right") - 1
-        good = (place >= first[doc]) & (place + p["n"] <= first[doc + 1])  # length bound: all of it within the text
-        place, doc, entry = place[good], doc[good], entry[good]
-        whole = run_hashes(words, p["n"])
-        good = whole[place] == p["whole"][entry]
-        place, doc, window = place[good], doc[good], p["window"][entry[good]]
-        exact = np.fromiter((all(low[starts[w + j] : ends[w + j]].tobytes() == x for j, x in enumerate(runs[i])) for w, i in zip(place, window)), bool, len(place))
-        yield p["n"], doc[exact], place[exact], window[exact]
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 3, text_col: str = "text", item_text_col: str = "text", item_id_col: str = "item_id", carry: tuple[str, ...] = ("doc_id",), block_windows: int = 200_000) -> DataFrame:
-    """The carried columns of each document with RESULT: its words, hit words and the items found in it."""
+def may_be(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where in ``hashes`` stand those that the table may hold."""
+    slot = hashes & np.uint64((len(table) << 6) - 1)
+    return np.flatnonzero(table.view(np.uint64)[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1))
+
+
+def shingles_of(words, first, sizes, table):
+    """(size, place, document) of the shingles within one text that the table may hold."""
+    for s in sizes:
+        hashes = run_hashes(words, s)
+        at = may_be(table, hashes)
+        doc = np.searchsorted(first, at, side="right") - 1
+        good = at + s <= first[doc + 1]
+        yield s, at[good], doc[good], hashes[at[good]]
+
+
+def token_counts(docs: DataFrame, table, sizes: list[int], text_col: str) -> DataFrame:
+    """(token, n): how often each shingle that may matter occurs in all documents; counts are summed within each batch first."""
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column(0).cast(pa.large_string()).fill_null("")
+            found = [h for _, words, first, _ in hashed_words(text) for _, _, _, h in shingles_of(words, first, sizes, table.value)]
+            token, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
+            if len(token):
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], ["token", "n"])
+
+    return docs.select(quoted(text_col).cast("string").alias("t")).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def text_key(raw: bytes) -> bytes:
+    """What stands for a text: 128 bits of BLAKE2b."""
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def occurrences(docs: DataFrame, table, sizes: list[int], most: int, text_col: str) -> DataFrame:
+    """(key, copies, token, place, before, around): shingles that may be prefix tokens, with up to ``most`` words to either side."""
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column(0).cast(pa.large_string()).fill_null("")
+            out = [[], [], [], [], []]
+            for row, words, first, (low, starts, ends) in hashed_words(text):
+                raw, keys = low.tobytes(), {}
+                for s, at, doc, token in shingles_of(words, first, sizes, table.value):
+                    lo, hi = np.maximum(first[doc], at + s - most), np.minimum(first[doc + 1], at + most)
+                    for p, d, h, a, b in zip(at.tolist(), doc.tolist(), token.view(np.int64).tolist(), lo.tolist(), hi.tolist()):
+                        if d not in keys:
+                            keys[d] = text_key(text[row + d].as_py().encode())
+                        made = (keys[d], h, p - int(first[d]), p - a, " ".join(raw[x:y].decode() for x, y in zip(starts[a:b].tolist(), ends[a:b].tolist())))
+                        for column, value in zip(out, made):
+                            column.append(value)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.string()))], ["key", "token", "place", "before", "around"])
+
+    rows = docs.select(quoted(text_col).cast("string").alias("t")).mapInArrow(run, "key binary, token long, place int, before int, around string")
+    return rows.groupBy("key", "token", "place", "before", "around").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def prefixes(tokens: DataFrame, counts: DataFrame) -> DataFrame:
+    """(run, n_words, token, offset, n): of each window the token that is rarest in the documents, which hold it ``n`` times.
+
+    A window with a token that is nowhere can't occur and has no row.
+    """
+    told = counts.withColumnRenamed("n", "df").join(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token")
+    known = join_dealt(tokens, told, "token", "run", HOT_TOKENS)
+    least = F.min(F.struct("df", "token", "offset")).alias("p")
+    rows = known.groupBy("run", "words", "size").agg(least, F.count(F.lit(1)).alias("found")).where("found = words - size + 1")
+    return rows.select("run", F.col("words").alias("n_words"), "size", "p.token", "p.offset", F.col("p.df").alias("n"))
+
+
+def verified(found: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(key, copies, at, n_words, run): windows that stand around a prefix token word for word."""
+    begin = F.col("before") - F.col("offset")  # positional bound; the length bound is that the words go on long enough
+    words = F.slice(F.split("around", " "), begin + 1, F.col("n_words"))
+    joined = join_dealt(found, chosen.drop("size"), "token", "key", HOT_TOKENS).where(F.col("before") >= F.col("offset"))
+    return joined.where((F.size(words) == F.col("n_words")) & (F.array_join(words, " ") == F.col("run"))).select("key", "copies", (F.col("place") - F.col("offset")).alias("at"), "n_words", "run")
+
+
+def hits_of(found: DataFrame, windows: DataFrame) -> DataFrame:
+    """(key, n, n_hit, items) of texts with hits; ``n``: how many documents have the text. What is gathered is one text's own."""
+    spans = F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.col("n_words")).alias("end"))))
+    nothing = F.struct(F.lit(0).alias("hit"), F.lit(0).alias("reach"))
+
+    def add(a, x):
+        more = F.greatest(F.lit(0), x["end"] - F.greatest(a["reach"], x["at"]))
+        return F.struct((a["hit"] + more).alias("hit"), F.greatest(a["reach"], x["end"]).alias("reach"))
+
+    covered = found.groupBy("key").agg(F.max("copies").alias("n"), spans.alias("spans")).select("key", "n", F.aggregate("spans", nothing, add)["hit"].cast("long").alias("n_hit"))
+    met = found.select("key", "run").distinct()
+    told = windows.select("run", "item").join(met.groupBy("run").agg(F.count(F.lit(1)).alias("n")), "run")
+    items = join_dealt(met, told, "run", "key", HOT_TOKENS).groupBy("key").agg(F.collect_set("item").alias("items"))
+    return covered.join(items, "key")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 3, text_col: str = "text", item_text_col: str = "text", item_id_col: str = "item_id", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The carried columns of each document with n_words, n_hit, n_items, items_sha256, contaminated and items."""
     spark: SparkSession = docs.sparkSession
     ship_package(spark)
-    shared = []
-    for block in index_items(benchmark, window, shingle, item_text_col, item_id_col, block_windows):
-        sizes = sorted({p["s"] for p in block["by_length"].values()})
-        tokens = np.unique(np.concatenate([p["tokens"].ravel() for p in block["by_length"].values()]))
-        plans = choose_prefixes(block, tokens, token_counts(docs, tokens, sizes, text_col))
-        shared.append(spark.sparkContext.broadcast((plans, block["runs"], block["items"])))
+    windows = cut(benchmark_windows(benchmark, window, item_text_col, item_id_col))
+    tokens = cut(window_tokens(windows, shingle)).withColumnRenamed("n", "words")
+    sizes = sorted(r[0] for r in tokens.select("size").distinct().collect())  # at most ``shingle`` of them
+    table = spark.sparkContext.broadcast(bit_table(tokens.select("token").distinct(), "token"))
+    chosen = cut(prefixes(tokens, token_counts(docs, table, sizes, text_col)))
+    table.destroy()
+    sizes = sorted(r[0] for r in chosen.select("size").distinct().collect())
+    table = spark.sparkContext.broadcast(bit_table(chosen.select("token").distinct(), "token"))
+    hits = cut(hits_of(cut(verified(occurrences(docs, table, sizes, window, text_col), chosen)), windows))
+    table.destroy()
+    near = spark.sparkContext.broadcast(bit_table(hits.select(F.xxhash64("key").alias("h")), "h"))
 
     def worker():
         def handle(text, _):
-            n = len(text)
-            n_words, n_hit = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            items: list[set[int]] = [set() for _ in range(n)]
-            for row, words, first, spans in hashed_words(text):
-                rows = len(first) - 1
-                n_words[row : row + rows] = np.diff(first)
-                cover, found = np.zeros(len(words) + 1, np.int32), False
-                for part in shared:
-                    plans, runs, of = part.value
-                    for size, doc, place, win in _find(words, first, spans, plans, runs):
-                        found = True
-                        np.add.at(cover, place, 1)
-                        np.add.at(cover, place + size, -1)
-                        for d, w in {*zip(doc.tolist(), win.tolist())}:
-                            items[row + d].update(of[w].tolist())
-                if found:
-                    hit = np.concatenate([[0], np.cumsum(np.cumsum(cover[:-1]) > 0)])
-                    n_hit[row : row + rows] = hit[first[1:]] - hit[first[:-1]]
-            digest = [hashlib.sha256(",".join(sorted(map(str, x))).encode()).hexdigest() for x in items]
-            return {
-                "n_words": pa.array(n_words),
-                "n_hit": pa.array(n_hit),
-                "n_items": pa.array([len(x) for x in items], pa.int64()),
-                "items_sha256": pa.array(digest, pa.string()),
-                "contaminated": pa.array(n_hit > 0),
-                "items": pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
-            }
+            n_words, keys = np.zeros(len(text), np.int64), [text_key(t.encode()) for t in text.to_pylist()]
+            for row, _, first, _ in hashed_words(text):
+                n_words[row : row + len(first) - 1] = np.diff(first)
+            maybe = np.zeros(len(keys), bool)
+            maybe[may_be(near.value, np.array([xxhash.xxh64_intdigest(k, 42) for k in keys], np.uint64))] = True
+            return {"n_words": pa.array(n_words), "__key": pa.array(keys, pa.binary(), mask=~maybe)}
 
         return handle
 
-    return map_text(docs, worker, RESULT, text_col, carry)
+    fields = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("__key", T.BinaryType())])
+    rows = map_text(docs, worker, fields, text_col, tuple(c for c in carry if c not in RESULT))
+    told = hits.withColumnRenamed("key", "__key")
+    none_type = hits.schema["items"].dataType
+    none = F.array().cast(none_type)
+    size = hits.agg(F.count(F.lit(1)), F.sum(F.size("items"))).first()
+    if size[0] <= MOST_SENT and (size[1] or 0) <= MOST_SENT:
+        found = rows.join(F.broadcast(told.drop("n")), "__key", "left")
+    else:  # only rows that may have hits are moved
+        moved = rows.where("__key IS NOT NULL").withColumn("__by", F.monotonically_increasing_id())
+        seeming = moved.join(told.select("__key"), "__key", "left_anti").drop("__by").unionByName(rows.where("__key IS NULL"))
+        found = join_dealt(moved, told, "__key", "__by", HOT_TEXTS).drop("__by").unionByName(seeming.withColumn("n_hit", F.lit(None).cast("long")).withColumn("items", F.lit(None).cast(none_type)))
+    items = F.coalesce(F.col("items"), none)
+    names = F.array_sort(F.transform(items, lambda x: x.cast("string")))
+    return found.select(
+        *[quoted(c) for c in carry if c not in RESULT],
+        "n_words",
+        F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        F.array_sort(items).alias("items"),
+    )

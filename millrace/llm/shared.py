@@ -120,13 +120,13 @@ def distinct_edges(edges: DataFrame) -> DataFrame:
 
 
 def join_dealt(rows: DataFrame, told: DataFrame, key: str, by: str, most: int) -> DataFrame:
-    """``rows`` joined with ``told``, which has one row for each key and in ``n`` how many rows have it.
+    """``rows`` joined with ``told``, which tells in ``n`` how many rows have its key.
 
     Keys of more than ``most`` rows are dealt in parts by the column ``by``, however hot they are. There are fewer such
     keys than rows / ``most``, which bounds what is broadcast.
     """
     told = told.withColumn("__of", F.ceil(F.col("n") / most).cast("int"))
-    hubs = told.where("__of > 1").select(F.col(key).alias("__hub"), "__of")
+    hubs = told.where("__of > 1").select(F.col(key).alias("__hub"), "__of").distinct()
     part = F.coalesce(F.pmod(F.xxhash64(by), F.col("__of")).cast("int"), F.lit(0))
     dealt = rows.join(F.broadcast(hubs), F.col(key) == F.col("__hub"), "left").withColumn("__part", part).drop("__hub", "__of")
     copies = told.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__of") - 1))).drop("__of", "n")
