@@ -217,7 +217,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
     tokens = cut(window_tokens(windows, shingle)).withColumnRenamed("n", "words")
     sizes = sorted(r[0] for r in tokens.select("size").distinct().collect())  # at most ``shingle`` of them
     table = spark.sparkContext.broadcast(bit_table(tokens.select("token").distinct(), "token"))
-    chosen = cut(prefixes(tokens, token_counts(docs, table, sizes, text_col)))
+    chosen = cut(prefixes(tokens, cut(token_counts(docs, table, sizes, text_col).join(tokens.select("token").distinct(), "token", "left_semi"))))
     table.destroy()
     sizes = sorted(r[0] for r in chosen.select("size").distinct().collect())
     table = spark.sparkContext.broadcast(bit_table(chosen.select("token").distinct(), "token"))
