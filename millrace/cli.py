@@ -11,15 +11,15 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import bucket_contains, bucket_exact, is_selected
-from millrace.plans import audit, evaluate, pilot
+from millrace.functions.text import bucket_contains
+from millrace.plans import audit, collect, evaluate, pilot
 from millrace.sources import raw_dataset as raw
 from millrace.sources import remote
 from millrace.sources.access import AccessBlocked, OutOfScope, request
-from millrace.sources.content_store import store_payloads
-from millrace.streaming.ingest import discovery_complete
+from millrace.sources.profile import SourceProfile
+from millrace.streaming import ingest
 
-IDENTITY = ("dataset_version", "config_version", "source_identifier", "source_base_url", "seed_sha256")
+IDENTITY = ("dataset_version", "schema_version", "config_version", "source_identifier", "source_base_url", "seed_sha256")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -58,142 +58,72 @@ def prepare(root: Path, identity: dict, resume: bool) -> dict:
         return known
     if root.exists() and any(root.iterdir()):
         raise ValueError(f"{root}: files without a manifest")
-    return {**identity, "schema_version": "3", "record_log_path": "records.jsonl", "record_count": 0, "checkpoint": {"stable_total_passes": 0}, "retrieval_errors": [], "status_counts": {}, "skipped_status_counts": {}, "pending_seeds": [], "discovery_complete": False, "discovery_incomplete": False}
-
-
-def append_records(spark: SparkSession, root: Path, fetched, labels: dict[str, str | None]) -> tuple[set[str], dict[str, str]]:
-    """Store what was fetched and append a record for each source; returns the sources done and the errors."""
-    fetched = fetched.persist()
-    placed = store_payloads(fetched, str(root)).persist()
-    known = {(r["sha256"], r["relative_path"]): r["deduplicated"] for r in placed.collect()}
-    done, errors, records = set(), {}, {}
-    for r in fetched.drop("payload").withColumn("n", F.lit(0)).join(fetched.select("source_id", "kind", "source_url", F.sha2("payload", 256).alias("sha256")), ["source_id", "kind", "source_url"], "left").toLocalIterator():
-        if r["error"]:
-            errors[r["source_id"]] = r["error"]
-            continue
-        path = f"artifacts/{r['sha256']}{r['suffix']}"
-        artifact = {"artifact_id": f"sha256:{r['sha256']}", "kind": r["kind"], "source_id": r["source_id"], "source_url": r["source_url"], "fetched_at": r["fetched_at"], "sha256": r["sha256"], "relative_path": path, "media_type": r["media_type"], "http_status": r["http_status"], "source_artifact_id": r["parent"]}
-        record = records.setdefault(r["source_id"], {"source_id": r["source_id"], "canonical_url": r["canonical_url"], "source_status_label": labels.get(r["source_id"]), "deduplicates_artifact_id": None, "errors": [], "artifacts": [], "pdf_extractions": []})
-        record["artifacts"].append(artifact)
-        if r["kind"] == "original_pdf" and known.get((r["sha256"], path)):
-            record["deduplicates_artifact_id"] = artifact["artifact_id"]
-    root.mkdir(parents=True, exist_ok=True)
-    with (root / "records.jsonl").open("a", encoding="utf-8") as log:
-        for name, record in records.items():
-            log.write(json.dumps(record, ensure_ascii=False) + "\n")
-            done.add(name)
-    fetched.unpersist()
-    placed.unpersist()
-    return done, errors
-
-
-def completed(root: Path) -> set[str]:
-    log = root / "records.jsonl"
-    return {json.loads(x)["source_id"] for x in log.open(encoding="utf-8") if x.strip()} if log.is_file() else set()
+    return {**identity, "record_log_path": "records.jsonl", "record_count": 0, "checkpoint": {"stable_total_passes": 0}, "discovery_artifacts": [], "retrieval_errors": [], "status_counts": {}, "skipped_status_counts": {}, "pending_seeds": [], "discovery_complete": False, "discovery_incomplete": False}
 
 
 def discover(spark: SparkSession, a) -> int:
+    SourceProfile(a.prefix, a.source_mode, a.listing_url, a.api_list_url, a.api_detail_url_template, a.document_url_template, a.request_delay_seconds)
     rows, send, policy = [], remote.transport(a.transport), {"pause": a.request_delay_seconds}
-    if a.source_mode in ("api", "hybrid"):
-        try:
-            body = {"pageSize": a.limit, "pageNumber": 1, "sortDirection": "desc", "sortBy": "id"}
-            items = request(send, "POST", a.api_list_url, json_body=body, **policy).json().get("data", {}).get("items", [])
-            if not isinstance(items, list):
+    try:
+        if a.source_mode != "html":
+            data = request(send, "POST", a.api_list_url, json_body=remote.listing_body(1, a.limit, "id"), **policy).json().get("data", {})
+            if not isinstance(data.get("items", []), list):
                 raise ValueError("the listing has no data.items")
-            for item in items[: a.limit]:
-                if item.get("id") is not None:
-                    name = str(item["id"])
-                    rows.append({"source_id": f"{a.prefix}:{name}", "canonical_url": a.document_url_template.replace("{doc_id}", name), "api_detail_url": a.api_detail_url_template.replace("{doc_id}", name), "source_status_label": remote.status_name(item.get("effStatus")), "selection_reason": "api_listing"})
-        except (AccessBlocked, OutOfScope):
+            found = remote.listing_seeds(data.get("items", [])[: a.limit], a.api_detail_url_template, a.prefix)
+            own = len(a.prefix) + 1
+            rows = [{**r, "canonical_url": a.document_url_template.replace("{doc_id}", r["source_id"][own:]), "selection_reason": "api_listing"} for r in found]
+    except (AccessBlocked, OutOfScope):
+        raise
+    except Exception:
+        if a.source_mode == "api" or not a.listing_url:
             raise
-        except Exception:
-            if a.source_mode == "api" or not a.listing_url:
-                raise
-            rows = []
     if not rows and a.listing_url and a.source_mode != "api":
-        rows = [{**r, "api_detail_url": None, "source_status_label": None, "selection_reason": "listing_link"} for r in remote.listing_links(send, a.listing_url, a.prefix, **policy)[: a.limit]]
+        found = remote.listing_links(send, a.listing_url, a.prefix, **policy)[: a.limit]
+        rows = [{**r, "api_detail_url": None, "source_status_label": None, "selection_reason": "listing_link"} for r in found]
     seeds = spark.createDataFrame(rows, "source_id string, canonical_url string, api_detail_url string, source_status_label string, selection_reason string")
     seeds = seeds.withColumn("selection_bucket", bucket_contains("source_status_label"))
-    out = Path(a.seed_out)
-    out.parent.mkdir(parents=True, exist_ok=True)
-    part = out.with_name(f".{out.name}.part")
-    part.write_text("".join(json.dumps(r.asDict(), ensure_ascii=False) + "\n" for r in seeds.collect()), encoding="utf-8")
-    part.replace(out)
+    raw.replace_text(Path(a.seed_out), "".join(json.dumps(r.asDict(), ensure_ascii=False) + "\n" for r in seeds.collect()))
     print(json.dumps({"seeds": len(rows)}))
     return 0
 
 
-def crawl(spark: SparkSession, a) -> int:
-    seed, root = Path(a.seed), Path(a.data_root) / a.dataset_version
-    identity = {"dataset_version": a.dataset_version, "config_version": "1", "source_identifier": "seeds", "source_base_url": a.source_base_url, "seed_sha256": hashlib.sha256(seed.read_bytes()).hexdigest()}
-    manifest = prepare(root, identity, a.resume)
-    seeds = spark.read.schema("source_id string, canonical_url string, api_detail_url string, source_status_label string").option("mode", "FAILFAST").json(str(seed))
-    done = spark.createDataFrame([(i,) for i in completed(root)], "source_id string")
-    todo = seeds.join(done, "source_id", "left_anti").persist()
-    return _fetch(spark, a, root, manifest, todo, a.source_mode)
-
-
-def _fetch(spark: SparkSession, a, root: Path, manifest: dict, todo, mode: str) -> int:
-    labels = {r["source_id"]: r["source_status_label"] for r in todo.select("source_id", "source_status_label").collect()}
-    code = 0
+def _collect(spark: SparkSession, a, root: Path, manifest: dict, mode: str, work) -> int:
+    """Run ``work`` on the collection; a refusal ends it with 2, and what was fetched before stays."""
+    own = collect.Collection(spark, root, manifest, collect.Access(mode, a.transport, a.request_delay_seconds), lambda row: print(json.dumps(row), file=sys.stderr))
     try:
-        _, errors = append_records(spark, root, remote.fetch_documents(todo, mode, a.transport, pause=a.request_delay_seconds), labels)
-        manifest["pending_seeds"] = [s for s in (r.asDict() for r in todo.collect()) if s["source_id"] in errors]
-        manifest["retrieval_errors"] += [f"{k}:{v}" for k, v in errors.items()]
-    except Exception as e:
-        if not any(x in str(e) for x in ("AccessBlocked", "OutOfScope")):
-            raise
-        manifest["checkpoint"]["stopped_reason"] = str(e).strip().splitlines()[-1]
+        work(own)
+        code = 0
+    except collect.Stopped:
         code = 2
-    done = completed(root)
-    manifest["record_count"] = len(done)
-    manifest["checkpoint"] |= {"completed_count": len(done), "pending_count": len(manifest["pending_seeds"])}
-    raw.replace_json(root / "manifest.json", manifest)
-    print(json.dumps({"completed": len(done), "pending": len(manifest["pending_seeds"])}))
+    print(json.dumps(own.state.counts()))
+    own.state.close()
     return code
 
 
+def crawl(spark: SparkSession, a) -> int:
+    seed, root = Path(a.seed), Path(a.data_root) / a.dataset_version
+    identity = {"dataset_version": a.dataset_version, "schema_version": "1", "config_version": "1", "source_identifier": "seeds", "source_base_url": a.source_base_url, "seed_sha256": hashlib.sha256(seed.read_bytes()).hexdigest()}
+    manifest = prepare(root, identity, a.resume)
+    seeds = spark.read.schema(collect.SEED).option("mode", "FAILFAST").json(str(seed))
+    done = ingest.completed_ids(spark, str(root / "records.jsonl"), raw.RECORD)
+    todo = seeds.withColumn("place", F.monotonically_increasing_id()).join(done, "source_id", "left_anti").orderBy("place")
+    return _collect(spark, a, root, manifest, a.source_mode, lambda own: own.fetch(r.asDict() for r in todo.toLocalIterator()))
+
+
 def sync(spark: SparkSession, a) -> int:
     root, base = Path(a.data_root) / a.dataset_version, a.api_base_url.rstrip("/")
     if a.page_size < 1 or a.max_pages < 1 or a.max_discovery_passes < 1:
         raise ValueError("page size, pages and passes must be positive")
-    identity = {"dataset_version": a.dataset_version, "config_version": f"{a.status_scope}-1", "source_identifier": a.prefix, "source_base_url": base, "seed_sha256": hashlib.sha256(base.encode()).hexdigest()}
+    schema = "3" if a.status_scope == "all" else "2"
+    settings = json.dumps({"page_size": a.page_size, "status_scope": a.status_scope}, sort_keys=True)
+    identity = {"dataset_version": a.dataset_version, "schema_version": schema, "config_version": schema, "source_identifier": a.prefix, "source_base_url": base, "seed_sha256": hashlib.sha256(settings.encode()).hexdigest()}
     manifest = prepare(root, identity, a.resume)
-    code, most = 0, None if a.all_pages else a.max_pages
-    for number in range(1, a.max_discovery_passes + 1):
-        try:
-            rows = list(remote.listing_pages(remote.transport(a.transport), f"{base}/public/doc/all", f"{base}/public/doc/{{doc_id}}", a.prefix, a.page_size, most, number, pause=a.request_delay_seconds))
-        except (AccessBlocked, OutOfScope) as e:
-            manifest["checkpoint"]["stopped_reason"] = str(e)
-            raw.replace_json(root / "manifest.json", manifest)
-            return 2
-        items = spark.createDataFrame([tuple(r.values()) for r in rows], remote.LISTING).withColumnRenamed("status_label", "source_status_label").withColumn("bucket", bucket_exact("source_status_label"))
-        totals = [r["total"] for r in rows]
-        stable = len(set(totals)) <= 1
-        wanted = items if a.status_scope == "all" else items.where(is_selected("source_status_label"))
-        done = spark.createDataFrame([(i,) for i in completed(root)], "source_id string")
-        todo = wanted.dropDuplicates(["source_id"]).join(done, "source_id", "left_anti").persist()
-        code = _fetch(spark, a, root, manifest, todo, "detail")
-        seen = set(manifest["checkpoint"].get("seen_source_ids", [])) | {r["source_id"] for r in rows}
-        held = manifest["checkpoint"].get("stable_total_passes", 0) + 1 if stable and rows else 0
-        manifest["checkpoint"] |= {"seen_source_ids": sorted(seen), "seen_count": len(seen), "observed_total": totals[-1] if totals else None, "stable_total_passes": held}
-        full = most is None or (bool(rows) and rows[-1]["page"] * a.page_size >= totals[-1])
-        manifest["discovery_complete"] = full and discovery_complete(len(seen), totals[-1] if totals else None, held, a.max_discovery_passes)
-        if code or not full or manifest["discovery_complete"]:
-            break
-    else:
-        manifest["discovery_incomplete"] = True
-    raw.replace_json(root / "manifest.json", manifest)
-    return code
+    most = None if a.all_pages else a.max_pages
+    return _collect(spark, a, root, manifest, "detail", lambda own: collect.collect_listing(own, base, a.prefix, a.page_size, most, a.max_discovery_passes, a.status_scope))
 
 
 def extract(spark: SparkSession, a) -> int:
-    root = Path(a.data_root) / a.dataset_version
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(str(root / "artifacts"))
-    made = remote.extract_pdfs(files, a.pdf_reader).persist()
-    texts = made.where("status = 'extracted'").select(F.encode("text", "UTF-8").alias("payload"), F.lit(".pdf-text.json").alias("suffix"))
-    store_payloads(texts, str(root)).count()
-    print(json.dumps({r["status"]: r["count"] for r in made.groupBy("status").count().collect()}))
+    print(json.dumps(collect.extract_pdfs(spark, Path(a.data_root) / a.dataset_version, a.pdf_reader)))
     return 0
 
 
