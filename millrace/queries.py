@@ -529,46 +529,119 @@ def stratum_selected_counts(spark, sf_dir):
     return sampling.stratum_counts(good, sampling.round_robin(good, _STRATA, 50, "pilot-v1"), _STRATA)
 
 
-def audited(spark, sf_dir) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    twice = F.row_number().over(W.partitionBy(F.sha2(F.col("text").cast("binary"), 256)).orderBy("doc_id"))
-    rows = docs.withColumn("copy", twice).join(labels, "doc_id", "left")
-    return rows.select(F.col("doc_id").cast("string").alias("source_id"), "text", "n_chars", "quality", "toxic", "copy", "source")
-
-
-_AUDITED = """
-    a AS (SELECT CAST(d.doc_id AS VARCHAR) AS source_id, d.*, l.quality, l.toxic, row_number() OVER (PARTITION BY sha256(d.text) ORDER BY d.doc_id) AS copy FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
-    i AS (SELECT source_id, unnest(list_filter([CASE WHEN copy > 1 THEN 'duplicate_content' END, CASE WHEN length(text) <> n_chars THEN 'length_mismatch' END, CASE WHEN quality IS NULL THEN 'missing_label' END, CASE WHEN quality = 0 THEN 'low_quality' END, CASE WHEN toxic = 1 THEN 'toxic' END], lambda x: x IS NOT NULL)) AS code FROM a)"""
-
-
-def audit_rules():
-    return [
-        ("duplicate_content", F.col("copy") > 1),
-        ("length_mismatch", F.char_length("text") != F.col("n_chars")),
-        ("missing_label", F.col("quality").isNull()),
-        ("low_quality", F.col("quality") == 0),
-        ("toxic", F.col("toxic") == 1),
-    ]
+# A record log over the documents: every fault that the audit knows is put in by the number of the document.
+
+_PAGE = "CASE WHEN n % 23 = 4 THEN '<script>x</script>' ELSE '<p>' || coalesce(lang, '') || ' ' || n || '</p>' END"
+_BODY = f"""CASE WHEN n % 29 = 5 THEN '{{"data"' WHEN n % 101 = 22 THEN '{{"data":[]}}' ELSE '{{"data":{{"id":' || n || CASE WHEN n % 11 = 3 THEN '' ELSE ',"title":"t"' END
+    || ',"docNum":' || CASE WHEN n % 13 = 2 THEN '""' ELSE '"d"' END || ',"docType":' || CASE WHEN n % 103 = 23 THEN '{{}}' ELSE '{{"name":"x"}}' END || ',"effStatus":' || CASE WHEN n % 17 = 1 THEN 'null' ELSE '{{"name":"y"}}' END
+    || ',"issueDate":"2020-01-0' || n % 10 || '","effFrom":' || CASE WHEN n % 107 = 24 THEN '20200201' ELSE '"2020-02-01T00:00:00"' END || ',"effTo":' || CASE n % 7 WHEN 1 THEN '"2019-01-01"' WHEN 2 THEN 'null' WHEN 3 THEN '"2021-13-01"' ELSE '"2021-01-01"' END
+    || ',"documentContent":{{"content":"' || CASE WHEN n % 19 = 6 THEN 'other' ELSE page END || '"}}}}}}' END"""
+_LOGGED = f"""
+    base AS (SELECT doc_id AS n, lang FROM <docs>),
+    paged AS (SELECT n, CAST(CASE WHEN n % 89 = 20 THEN n - 1 ELSE n END AS <text>) AS source_id, {_PAGE} AS page FROM base),
+    logged AS (SELECT n, source_id, page, {_BODY} AS body FROM paged),
+    refs AS (SELECT n, source_id, 0 AS pos, 'document_json' AS kind, source_id AS ref_source, 'http://s/' || n AS url, 'now' AS fetched, CASE WHEN n % 61 = 14 THEN 'x' ELSE <sha_body> END AS sha,
+                    CASE WHEN n % 47 = 11 THEN '../' || n ELSE 'artifacts/' || n || '.json' END AS path, CASE WHEN n % 73 = 17 THEN 404 ELSE 200 END AS status FROM logged WHERE n % 31 <> 7
+             UNION ALL SELECT n, source_id, 1, 'document_json', source_id, 'http://s/' || n, 'now', <sha_body>, 'artifacts/' || n || '.json', 200 FROM logged WHERE n % 37 = 8
+             UNION ALL SELECT n, source_id, 2, 'document_html', CASE WHEN n % 79 = 18 THEN 'z' ELSE source_id END, CASE WHEN n % 67 = 15 THEN 'http://t/' ELSE 'http://s/' END || n, CASE WHEN n % 71 = 16 THEN NULL ELSE 'now' END, <sha_page>, 'artifacts/' || n || '.html', 200 FROM logged WHERE n % 41 <> 9
+             UNION ALL SELECT n, source_id, 3, 'document_html', source_id, 'http://s/' || n, 'now', <sha_page>, 'artifacts/' || n || '.html', 200 FROM logged WHERE n % 43 = 10),
+    files AS (SELECT 'artifacts/' || n || '.json' AS relative_path, <sha_body> AS sha256, true AS is_text, body AS content FROM logged WHERE n % 53 <> 12
+              UNION ALL SELECT 'artifacts/' || n || '.html', <sha_page>, n % 97 <> 21, CASE WHEN n % 97 <> 21 THEN page END FROM logged WHERE n % 59 <> 13)"""
+
+
+def _log_sql(docs: str, text: str, digest: str) -> str:
+    made = {"<docs>": docs, "<text>": text, "<sha_body>": digest.format("body"), "<sha_page>": digest.format("page")}
+    sql = _LOGGED
+    for mark, value in made.items():
+        sql = sql.replace(mark, value)
+    return sql
+
+
+_LOG_DUCK = _log_sql("documents", "VARCHAR", "sha256({})")
+_DAY = "CASE WHEN json_type(data, '$.{0}') = 'VARCHAR' THEN try_cast(left(json_extract_string(data, '$.{0}'), 10) AS DATE) END"
+_NONE = "(json_type(data, '$.{0}') IS NULL OR json_type(data, '$.{0}') = 'NULL' OR CAST(json_extract(data, '$.{0}') AS VARCHAR) IN ('\"\"', '0', '{{}}', '[]', 'false'))"
+_DATED = {d: _DAY.format(d) for d in quality_audit.DATES}
+_ROW_RULES = [
+    ("json_reference_count", "n_json <> 1"),
+    ("html_reference_count", "n_html > 1"),
+    ("artifact_source_url_mismatch", "differs"),
+    ("missing_html", "n_html = 0"),
+    ("missing_document_data", "data IS NULL"),
+    *[(f"missing_{f}", f"data IS NOT NULL AND {_NONE.format(f)}") for f in quality_audit.FIELDS],
+    *[(f"invalid_{d}", f"data IS NOT NULL AND NOT {_NONE.format(d)} AND ({_DATED[d]}) IS NULL") for d in quality_audit.DATES],
+    ("reversed_effective_dates", f"data IS NOT NULL AND ({_DATED['effTo']}) < ({_DATED['effFrom']})"),
+    ("record_error", "n % 83 = 19"),
+]
+_AUDITED = f"""{_LOG_DUCK},
+    met AS (SELECT r.*, f.sha256 AS own, f.is_text, f.content,
+                   CASE WHEN r.path LIKE '../%' THEN 'unsafe_path' WHEN f.sha256 IS NULL THEN 'missing_artifact' WHEN f.sha256 <> r.sha THEN 'hash_mismatch' END AS fatal
+            FROM refs r LEFT JOIN files f ON r.path = f.relative_path),
+    judged AS (SELECT *, fatal IS NULL AND ref_source <> source_id AS strange, fatal IS NULL AND fetched IS NULL AS unproven, fatal IS NULL AND status <> 200 AS not_200 FROM met),
+    sound AS (SELECT *, fatal IS NULL AND NOT strange AND NOT unproven AND NOT not_200 AS ok FROM judged),
+    parsed AS (SELECT *, CASE WHEN ok AND kind = 'document_json' AND json_valid(content) THEN json_extract(content, '$.data') END AS d, ok AND kind = 'document_html' AND is_text AS readable FROM sound),
+    per AS (SELECT n, count(*) FILTER (WHERE kind = 'document_json') AS n_json, count(*) FILTER (WHERE kind = 'document_html') AS n_html,
+                   arg_min(url, pos) FILTER (WHERE kind = 'document_json') AS json_url, arg_min(url, pos) FILTER (WHERE kind = 'document_html') AS html_url,
+                   list(url) FILTER (WHERE kind = 'document_html') AS html_urls, arg_max(CAST(d AS VARCHAR), pos) FILTER (WHERE d IS NOT NULL) AS last,
+                   count(*) FILTER (WHERE ok AND kind = 'document_json' AND NOT json_valid(content)) AS bad_json, count(*) FILTER (WHERE ok AND kind = 'document_html' AND NOT is_text) AS bad_encoding,
+                   count(*) FILTER (WHERE readable AND content LIKE '<script>%') AS empty_pages, list(content) FILTER (WHERE readable AND content NOT LIKE '<script>%') AS pages FROM parsed GROUP BY n),
+    state AS (SELECT l.n, l.source_id, coalesce(n_json, 0) AS n_json, coalesce(n_html, 0) AS n_html, json_url, html_urls, coalesce(json_url <> html_url, false) AS differs, bad_json, bad_encoding, empty_pages, pages,
+                     CASE WHEN NOT coalesce(json_url <> html_url, false) AND last LIKE '{{%' THEN CAST(last AS JSON) END AS data FROM logged l LEFT JOIN per p ON l.n = p.n),
+    ranked AS (SELECT source_id, row_number() OVER (PARTITION BY source_id ORDER BY n) AS again FROM logged),
+    i AS (SELECT source_id, fatal AS code FROM sound WHERE fatal IS NOT NULL
+          UNION ALL SELECT source_id, 'artifact_source_id_mismatch' FROM sound WHERE strange UNION ALL SELECT source_id, 'missing_provenance' FROM sound WHERE unproven UNION ALL SELECT source_id, 'non_200_artifact' FROM sound WHERE not_200
+          UNION ALL SELECT source_id, 'duplicate_record_id' FROM ranked WHERE again > 1
+          {" ".join(f"UNION ALL SELECT source_id, '{code}' FROM state WHERE {rule}" for code, rule in _ROW_RULES)}
+          {" ".join(f"UNION ALL SELECT source_id, '{code}' FROM (SELECT source_id, unnest(generate_series(1, {many})) FROM state)" for code, many in (("invalid_document_json", "bad_json"), ("invalid_html_encoding", "bad_encoding"), ("empty_html", "empty_pages")))}
+          UNION ALL SELECT source_id, 'json_html_mismatch' FROM (SELECT source_id, data, unnest(pages) AS page FROM state WHERE data IS NOT NULL) WHERE page <> json_extract_string(data, '$.documentContent.content'))"""
+
+
+def logged(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, references, files) as the audit reads them from a dataset folder."""
+    table(spark, sf_dir, "documents").select("doc_id", "lang").createOrReplaceTempView("audited_documents")
+
+    def part(name):
+        return spark.sql(f"WITH {_log_sql('audited_documents', 'STRING', 'sha2({}, 256)')} SELECT * FROM {name}")
+
+    errors = F.when(F.col("n") % 83 == 19, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    records = part("logged").select(F.col("n").alias("line_no"), F.struct("source_id", errors.alias("errors")).alias("r"))
+    a = F.struct("kind", F.col("ref_source").alias("source_id"), F.col("url").alias("source_url"), F.col("fetched").alias("fetched_at"), F.col("sha").alias("sha256"), F.col("path").alias("relative_path"), F.col("status").alias("http_status"))
+    return records, part("refs").select(F.col("n").alias("line_no"), "source_id", "pos", a.alias("a")), part("files")
+
+
+def findings(spark, sf_dir) -> DataFrame:
+    records, refs, files = logged(spark, sf_dir)
+    checked = quality_audit.checked_references(refs, files)
+    found = quality_audit.repeated_records(records).unionByName(quality_audit.reference_issues(checked))
+    return found.unionByName(quality_audit.document_issues(quality_audit.document_state(records, checked)))
 
 
 @query(f"WITH {_AUDITED} SELECT source_id, code FROM i")
 def audit_issues(spark, sf_dir):
-    return quality_audit.issues(audited(spark, sf_dir), audit_rules())
+    """The audit's own rules over a record log whose faults are put in by number."""
+    return findings(spark, sf_dir)
 
 
 @query(f"WITH {_AUDITED} SELECT code, CAST(count(*) AS BIGINT) AS n FROM i GROUP BY 1")
 def audit_issue_counts(spark, sf_dir):
-    return quality_audit.count_by_code(quality_audit.issues(audited(spark, sf_dir), audit_rules()))
+    return quality_audit.count_by_code(findings(spark, sf_dir))
 
 
 @query("SELECT coalesce(nullif(CAST(l.quality AS VARCHAR), ''), 'unknown') AS status, CAST(count(*) AS BIGINT) AS n FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1")
 def audit_status_counts(spark, sf_dir):
-    return quality_audit.count_by_status(audited(spark, sf_dir).select(F.col("quality").cast("string").alias("source_status_label")))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_audit.count_by_status(docs.join(labels, "doc_id", "left").select(F.col("quality").cast("string").alias("source_status_label")))
 
 
-@query(f"WITH {_AUDITED} SELECT CAST(count(*) AS BIGINT) AS records, CAST(count(*) FILTER (WHERE quality = 1 AND toxic = 0) AS BIGINT) AS usable_documents, CAST(count(DISTINCT source) AS BIGINT) AS n_sources FROM a")
+@query(f"WITH {_AUDITED} SELECT n AS line_no, source_id FROM state WHERE len(pages) > 0 AND data IS NOT NULL AND n_json = 1 AND n_html = 1 AND list_contains(html_urls, json_url)")
 def audit_usable(spark, sf_dir):
-    return audited(spark, sf_dir).agg(F.count(F.lit(1)).alias("records"), F.count_if((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("usable_documents"), F.countDistinct("source").alias("n_sources"))
+    records, refs, files = logged(spark, sf_dir)
+    return quality_audit.usable(quality_audit.document_state(records, quality_audit.checked_references(refs, files))).select("line_no", "source_id")
+
+
+@query(f"WITH {_AUDITED} SELECT relative_path FROM files WHERE relative_path NOT IN (SELECT path FROM refs)")
+def audit_orphans(spark, sf_dir):
+    _, refs, files = logged(spark, sf_dir)
+    return quality_audit.orphans(files.select("relative_path"), refs.select(F.col("a.relative_path").alias("relative_path")))
 
 
 @query("SELECT sha256(text) AS source_id, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
