@@ -1,15 +1,17 @@
 """Sum-of-squares packing of tokenised documents into training sequences.
 
-Every scan partition packs on its own, so nothing is shuffled: documents are tokenised, whole windows are cut off, and
-the rest of each document goes to the fill level that makes the sum over all levels of (number of open windows at that
-level) squared smallest; ties go to the fullest level. The counts per level are kept in an array. When the partition
-ends (or more than ``max_open`` windows are open) the open windows are closed: their pieces are laid end to end and cut
-every ``length`` tokens, and the last stretch is cut into powers of two, which need no padding. Memory is bounded by
-``max_open`` windows and one block of texts.
+Documents are tokenised, whole windows are cut off, and the rest of each document goes to the fill level that makes the
+sum over all levels of (number of open windows at that level) squared smallest; ties go to the fullest level. The counts
+per level are kept in an array. Every scan partition packs on its own first and writes its full windows. The pieces of
+windows that are still open when it ends are packed once more, by as few tasks as ``REST_TOKENS`` allows, so that the
+number of partitions doesn't decide the result. Only what is open at the very end is closed: those pieces are laid end to
+end and cut every ``length`` tokens, and the last stretch is cut into powers of two, which need no padding. Memory
+is bounded by the open windows of one partition and one block of texts.
 
 Tokens come from a ``tokenizers`` file. A run of texts is split into the pre-tokens of the byte-level rule with array
-operations; each different pre-token is encoded once by the tokenizer and kept in a bounded table. Texts that hold a
-special token's string or a code point of unknown class go through the tokenizer as they are.
+operations; each different pre-token is encoded once by the tokenizer and kept in a bounded table under its own bytes
+(those of more than 16 bytes are encoded anew in each block). Texts that hold a special token's string or a code point of
+unknown class go through the tokenizer as they are.
 
 Defined cases: null and empty texts are a document of the end token alone; repeated ids and rows are separate
 documents; extra columns are not read; an empty table gives no row.
@@ -28,8 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textvec as tv
-from millrace.llm.shared import quoted, ship_package
+from millrace.llm.shared import quoted, ship_package, write_table
 
+REST_TOKENS = 1 << 26  # tokens of open windows that one task packs
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 #: White_Space beyond ASCII, and the endings that the pre-token rule splits off after an apostrophe.
 WIDE_SPACES = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -91,6 +94,16 @@ def split_pretokens(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray)
     return np.flatnonzero(start), kind
 
 
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
+
+def _packed(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Three rows: the first eight bytes of each span, the next eight, and its length."""
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    words = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    return np.stack([words[starts] & _MASKS[np.minimum(size, 8)], words[starts + 8] & _MASKS[np.clip(size - 8, 0, 8)], size.astype(np.uint64)])
+
+
 class PretokenCache:
     """Token ids of texts, encoding each different pre-token once; a direct-mapped table of bounded size."""
 
@@ -105,7 +118,7 @@ class PretokenCache:
         self.reset()
 
     def reset(self) -> None:
-        self.key = np.zeros(self.slots, np.uint64)
+        self.key = np.zeros((3, self.slots), np.uint64)  # the bytes of the pre-token and their number
         self.at = np.zeros(self.slots, np.int64)
         self.size = np.zeros(self.slots, np.int32)
         self.flat = np.zeros(1 << 16, np.uint32)
@@ -121,6 +134,10 @@ class PretokenCache:
         self.used += total
         return at, size
 
+    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        made = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return self._append([x.ids for x in made])
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in one array, where each text's ids begin)."""
         texts = len(offsets) - 1
@@ -128,18 +145,25 @@ class PretokenCache:
             self.reset()
         starts, kind = split_pretokens(data, offsets, self.classes)
         ends = np.concatenate([starts[1:], [len(data)]])
-        h = tv.span_hashes(tv.prefix_sums(data), starts, ends)
-        slot = (h >> np.uint64(20)).astype(np.int64) & (self.slots - 1)
+        word = _packed(data, starts, ends - starts)
+        slot = (tv.mix(word[0] ^ tv.mix(word[1] + word[2])) >> np.uint64(20)).astype(np.int64) & (self.slots - 1)
         at, size = self.at[slot], self.size[slot]
-        miss = np.flatnonzero((self.key[slot] != h) | (size == 0))
+        short = ends - starts <= 16
+        raw = data.tobytes()
+        miss = np.flatnonzero(short & ((self.key[:, slot] != word).any(axis=0) | (size == 0)))
         if len(miss):
-            _, one, which = np.unique(h[miss], return_index=True, return_inverse=True)
+            _, one, which = np.unique(word[:, miss], axis=1, return_index=True, return_inverse=True)
             new = miss[one]
-            raw = data.tobytes()
-            made = self.tokenizer.encode_batch_fast([raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[new], ends[new])], add_special_tokens=False)
-            new_at, new_size = self._append([x.ids for x in made])
-            at[miss], size[miss] = new_at[which], new_size[which]
-            self.key[slot[new]], self.at[slot[new]], self.size[slot[new]] = h[new], new_at, new_size
+            new_at, new_size = self._encoded([raw[s:e] for s, e in zip(starts[new], ends[new])])
+            at[miss], size[miss] = new_at[which.ravel()], new_size[which.ravel()]
+            self.key[:, slot[new]], self.at[slot[new]], self.size[slot[new]] = word[:, new], new_at, new_size
+        long = np.flatnonzero(~short)
+        if len(long):
+            spelt = [raw[s:e] for s, e in zip(starts[long], ends[long])]
+            number = {w: i for i, w in enumerate(dict.fromkeys(spelt))}
+            new_at, new_size = self._encoded(list(number))
+            which = np.array([number[w] for w in spelt])
+            at[long], size[long] = new_at[which], new_size[which]
         owner, k = tv.ragged(size)
         ids = self.flat[at[owner] + k]
         before = np.concatenate([[0], np.cumsum(size)])
@@ -166,11 +190,10 @@ class PretokenCache:
 class SumOfSquaresPacker:
     """Places pieces into windows; ``done`` collects (doc, start, ids, doc tokens, window, offset)."""
 
-    def __init__(self, length: int, first_window: int, max_open: int = 4096):
-        self.length, self.next_window, self.max_open = length, first_window, max_open
+    def __init__(self, length: int, first_window: int):
+        self.length, self.next_window = length, first_window
         self.count = np.zeros(length + 1, np.int64)  # open windows at each fill level
         self.open: dict[int, list[list]] = {}  # fill level -> windows, each a list of pieces
-        self.n_open = 0
         self.done: list[tuple] = []
 
     def _emit(self, pieces: list[tuple]) -> None:
@@ -198,33 +221,33 @@ class SumOfSquaresPacker:
         for at in range(0, whole, self.length):
             self._emit([(doc, at, ids[at : at + self.length], total)])
         if whole < total:
-            self._place((doc, whole, ids[whole:], total))
-            if self.n_open > self.max_open:
-                self.close()
+            self.place((doc, whole, ids[whole:], total))
 
-    def _place(self, piece: tuple) -> None:
+    def place(self, piece: tuple) -> None:
         size = len(piece[2])
         level = self.level_for(size)
         pieces = []
         if level:
             pieces = self.open[level].pop()
             self.count[level] -= 1
-            self.n_open -= 1
         pieces.append(piece)
         if level + size == self.length:
             self._emit(pieces)
         else:
             self.open.setdefault(level + size, []).append(pieces)
             self.count[level + size] += 1
-            self.n_open += 1
 
-    def close(self) -> None:
-        """Lay the pieces of all open windows end to end and cut them anew, without padding."""
+    def take_open(self) -> list[tuple]:
+        """The pieces of all open windows, which are open no longer."""
         rest = [p for level in sorted(self.open, reverse=True) for window in self.open[level] for p in window]
-        left = sum(len(p[2]) for p in rest)
         self.open.clear()
         self.count[:] = 0
-        self.n_open = 0
+        return rest
+
+    def close(self) -> None:
+        """Lay the pieces of all open windows end to end and cut them anew, without padding."""
+        rest = self.take_open()
+        left = sum(len(p[2]) for p in rest)
         while left:
             want = self.length if left >= self.length else 1 << (left.bit_length() - 1)
             left -= want
@@ -240,26 +263,22 @@ class SumOfSquaresPacker:
             self._emit(taken)
 
 
-def pack(docs: DataFrame, length: int = 2048, end_id: int = 1, tokenizer_path: str | None = None, text_col: str = "text", id_col: str = "doc_id", max_open: int = 4096) -> DataFrame:
-    """Pieces (doc_id, start, length, ids, doc_tokens, sequence_id, offset); ids are little-endian uint32 bytes.
+PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+
+
+def _rows(pieces: list[tuple]) -> pa.RecordBatch:
+    doc, start, ids, total, window, at = zip(*pieces)
+    columns = [pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array(total, pa.int64()), pa.array(window, pa.int64()), pa.array(at, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in PIECES.split(", ")])
 
-    ``sequence_id`` holds the scan partition in its upper bits, so that partitions number their sequences alone.
-    """
-    ship_package(docs.sparkSession)
+
+def pack_partitions(docs: DataFrame, length: int, end_id: int, tokenizer_path: str | None, text_col: str, id_col: str) -> DataFrame:
+    """Pieces of the windows that each scan partition fills, and with null sequence_id those it leaves open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _cache(tokenizer_path)
-        packer = SumOfSquaresPacker(length, TaskContext.get().partitionId() << 33, max_open)
+        packer = SumOfSquaresPacker(length, TaskContext.get().partitionId() << 33)
         end = np.array([end_id], np.uint32)
-
-        def flush():
-            done, packer.done = packer.done, []
-            doc, start, ids, total, window, at = zip(*done)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array(total, pa.int64()), pa.array(window, pa.int64()), pa.array(at, pa.int64())],
-                ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-            )
-
         for batch in batches:
             names = batch.column(0).to_pylist()
             text = batch.column(1).cast(pa.large_string()).fill_null("")
@@ -268,13 +287,45 @@ def pack(docs: DataFrame, length: int = 2048, end_id: int = 1, tokenizer_path: s
                 for i in range(len(offsets) - 1):
                     packer.add(names[row + i], np.concatenate([ids[bounds[i] : bounds[i + 1]], end]))
                 if len(packer.done) >= 512:
-                    yield flush()
-        packer.close()
-        if packer.done:
-            yield flush()
+                    yield _rows(packer.done)
+                    packer.done = []
+        left = packer.done + [(*piece, None, None) for piece in packer.take_open()]
+        for lo in range(0, len(left), 512):
+            yield _rows(left[lo : lo + 512])
 
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return rows.mapInArrow(run, PIECES)
+
+
+def pack_rest(pieces: DataFrame, length: int, tasks: int) -> DataFrame:
+    """The open pieces of all partitions packed by ``tasks`` tasks; what is open then is cut end to end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = SumOfSquaresPacker(length, (1 << 62) | TaskContext.get().partitionId() << 33)
+        for batch in batches:
+            for doc, start, ids, total in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "start", "ids", "doc_tokens"))):
+                packer.place((doc, start, np.frombuffer(ids, "<u4"), total))
+            if packer.done:
+                yield _rows(packer.done)
+                packer.done = []
+        packer.close()
+        for lo in range(0, len(packer.done), 512):
+            yield _rows(packer.done[lo : lo + 512])
+
+    return pieces.repartition(tasks).mapInArrow(run, PIECES)
+
+
+def pack(docs: DataFrame, length: int = 2048, end_id: int = 1, tokenizer_path: str | None = None, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """Pieces (doc_id, start, length, ids, doc_tokens, sequence_id, offset); ids are little-endian uint32 bytes.
+
+    ``sequence_id`` holds the partition that packed the sequence in its upper bits, so that partitions number theirs alone.
+    """
+    ship_package(docs.sparkSession)
+    first = pack_partitions(docs, length, end_id, tokenizer_path, text_col, id_col)
+    first = write_table(first.withColumn("open", F.col("sequence_id").isNull()), "pieces", ["open"])
+    left = first.where("open").drop("open")
+    tokens = left.agg(F.sum("length")).first()[0] or 0
+    return first.where("NOT open").drop("open").unionByName(pack_rest(left, length, -(-tokens // REST_TOKENS) or 1))
 
 
 _caches: dict[str, PretokenCache] = {}

@@ -48,6 +48,23 @@ def test_level_is_the_one_that_brute_force_finds():
         packer.add(k, np.zeros(size, np.uint32))
 
 
+def test_long_pretokens_that_begin_alike():
+    texts = ["abcdefghijklmnop" + x + " abcdefgh" for x in ("", "q", "r", "\0", "qq")] * 2 + ["abcdefghi abcdefgh\0 abcdefgh"]
+    assert encode(texts) == [_cache(None).tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_few_tokens_are_cut_end_to_end_at_any_partitioning(spark, monkeypatch):
+    cut = []
+    for parts in (2, 60):
+        docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(parts)
+        rows = pack(docs.unionByName(docs.withColumn("doc_id", docs["doc_id"] + 100_000)), length=256).select("doc_id", "start", "length", "doc_tokens", "sequence_id").collect()
+        whole = sum(r["length"] for r in rows)
+        # a piece that neither begins at a multiple of the length nor goes on to its document's end or a whole window was cut anew
+        anew = sum(r["length"] for r in rows if r["start"] % 256 or (r["length"] < 256 and r["start"] + r["length"] < r["doc_tokens"]))
+        cut.append(anew / whole)
+    assert max(cut) < 0.05 and abs(cut[0] - cut[1]) < 0.03
+
+
 def test_every_id_once_without_padding(spark):
     texts = ["one two three " * n for n in (1, 5, 700, 3000, 40)] + ["", None, "same", "same"]
     docs = spark.createDataFrame([(i % 8, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, length string")
