@@ -32,6 +32,54 @@ def test_em_finds_accuracies():
     assert ((model.posterior(votes) > 0.5) == good).mean() > 0.99
 
 
+def brute_em(rows, rounds):
+    """Every document on its own, every sum by hand; the documented prior on votes and on false alarms."""
+    n, k, start = len(rows), len(LABELLERS), {GOOD: [0.80, 0.004, 0.196], BAD: [0.45, 0.35, 0.20]}
+    share, chance = 0.8, [{c: list(start[c]) for c in (GOOD, BAD)} for _ in range(k)]
+    p = []
+    for _ in range(rounds + 1):
+        p = []
+        for votes in rows:
+            a, b = share, 1 - share
+            for j, v in enumerate(votes):
+                a, b = a * chance[j][GOOD][v], b * chance[j][BAD][v]
+            p.append(a / (a + b))
+        mass = {GOOD: sum(p), BAD: n - sum(p)}
+        share, before = (mass[GOOD] + 1) / (n + 2), (share, chance)
+        chance = []
+        for j in range(k):
+            new = {c: [(sum(q if c == GOOD else 1 - q for q, votes in zip(p, rows) if votes[j] == v) + start[c][v]) / (mass[c] + 1) for v in range(3)] for c in (GOOD, BAD)}
+            alarm = (new[GOOD][BAD] * mass[GOOD] + start[GOOD][BAD] * n) / (mass[GOOD] + n)
+            others = [v for v in range(3) if v != BAD]
+            rest = sum(new[GOOD][v] for v in others)
+            new[GOOD] = [alarm if v == BAD else new[GOOD][v] / rest * (1 - alarm) for v in range(3)]
+            chance.append(new)
+    return before, p
+
+
+def test_em_equals_a_document_by_document_version():
+    rng = np.random.default_rng(7)
+    bad = rng.random(150) < 0.3
+    votes = np.where(rng.random((150, len(LABELLERS))) < np.where(bad, 0.5, 0.02)[:, None], BAD, rng.choice([v for v in range(3) if v != BAD], (150, len(LABELLERS))))
+    patterns, counts = np.unique(pattern_of(votes), return_counts=True)
+    for rounds in (1, 6):
+        model = fit_label_model(patterns, counts, rounds=rounds)
+        (share, chance), posterior = brute_em(votes.tolist(), rounds)
+        assert abs(model.good_share - share) < 1e-9
+        assert np.allclose(model.chances, [[c[GOOD], c[BAD]] for c in chance]) and np.allclose(model.posterior(votes), posterior)
+
+
+def test_scores_against_a_sum_over_words(spark):
+    docs, _ = corpus(spark, 60)
+    model = fit_quality(docs, most_fitted=40)
+    texts = [r["text"] for r in docs.collect()[:10]]
+    for t in texts:
+        whole = block_of([t])
+        doc, feature = whole.features()
+        z = model.bias + sum(model.weights[f] for f in feature.tolist()) / max(1, int(whole.n_words[0]))
+        assert abs(model.scores(block_of([*texts, t]))[-1] - 1 / (1 + np.exp(-z))) < 1e-9
+
+
 def corpus(spark, n=300):
     rng = np.random.default_rng(1)
     words = ["tree", "Lamp", "green,", "over", "the", "house.", "river", "stone", "quiet", "walks", "into", "evening."]
