@@ -39,6 +39,7 @@ from millrace.llm.shared import quoted, ship_package, write_table
 
 GRAM = 32
 PIECE = 1 << 21  # bytes of a text that are worked on at once; below 2**24
+TASK_BYTES = 64 << 20  # of texts, whose spans one task takes
 HOT_SPANS = 32  # different spans of one gram in one batch, from which it is hot
 PLACE_BITS = np.uint64((1 << 24) - 1)
 SLOTS = 1 << 20
@@ -201,7 +202,12 @@ def read_spans(docs: DataFrame, length: int, buckets: int) -> DataFrame:
 SETTLED = "gone boolean, doc long, tag long, start long, end long, runs int, gram long, hot boolean"
 
 
-def settle_buckets(spans: DataFrame, length: int) -> DataFrame:
+def _tasks(rows: DataFrame, size: int) -> int:
+    """So many that each gets the work of TASK_BYTES at most, and not fewer than the session would use."""
+    return int(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES)))
+
+
+def settle_buckets(spans: DataFrame, length: int, tasks: int) -> DataFrame:
     """Stretches that go, and spans whose gram has other spans (those still have to be compared)."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -226,7 +232,7 @@ def settle_buckets(spans: DataFrame, length: int) -> DataFrame:
             }
         )
 
-    return spans.groupBy("bucket").applyInArrow(run, SETTLED)
+    return spans.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(run, SETTLED)
 
 
 def gather_bytes(marked: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -295,7 +301,7 @@ def later_runs(raw: list[bytes], doc, tag, start, runs, length: int):
     return united(doc[owner][later], tag[owner][later], place[later], place[later] + length)
 
 
-def compare_buckets(rows: DataFrame, length: int) -> DataFrame:
+def compare_buckets(rows: DataFrame, length: int, tasks: int) -> DataFrame:
     """(doc, tag, start, end): stretches that go, one bucket of suffixes sorted at a time."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -303,7 +309,7 @@ def compare_buckets(rows: DataFrame, length: int) -> DataFrame:
         found = later_runs(group.column("bytes").to_pylist(), *columns, length)
         return pa.table({n: pa.array(c) for n, c in zip(("doc", "tag", "start", "end"), found)})
 
-    return rows.groupBy("bucket").applyInArrow(run, "doc long, tag long, start long, end long")
+    return rows.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(run, "doc long, tag long, start long, end long")
 
 
 def _slot(column: str):
@@ -326,13 +332,13 @@ def repeated_stretches(rows: DataFrame, length: int) -> DataFrame:
     """(doc, tag, stretches) of rows (doc, tag, text): what also starts earlier, for documents that have any."""
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(1 << 20, max(256, total // (32 << 20))))
-    settled = write_table(settle_buckets(read_spans(rows, length, buckets), length), "spans", ["gone"])
+    settled = write_table(settle_buckets(read_spans(rows, length, buckets), length, _tasks(rows, total)), "spans", ["gone"])
     open_ = settled.where("NOT gone")
     size = open_.agg(F.sum("end") - F.sum("start")).first()[0] or 0
     near, _ = may_hold(open_, rows)
     wanted = open_.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "runs", "gram", "hot")).alias("spans"))
-    marked = near.join(wanted, ["doc", "tag"]).select("doc", "tag", "text", "spans").distinct()
-    found = compare_buckets(gather_bytes(marked, length, int(max(256, size // (8 << 20)))), length)
+    marked = near.join(wanted, ["doc", "tag"]).select("doc", "tag", "text", "spans")  # repeated rows are one place each
+    found = compare_buckets(gather_bytes(marked, length, int(max(256, size // (8 << 20)))), length, _tasks(rows, size))
     gone = settled.where("gone").select("doc", "tag", "start", "end").unionByName(found)
     return write_table(gone.groupBy("doc", "tag").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("stretches")), "stretches")
 

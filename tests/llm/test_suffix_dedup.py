@@ -71,6 +71,9 @@ def test_hot_grams_and_pieces(spark, monkeypatch):
     table, settled = pa.Table.from_batches(blobs), []
 
     class Grouped:
+        def repartition(self, *_):
+            return self
+
         def groupBy(self, _):
             return self
 
@@ -78,7 +81,7 @@ def test_hot_grams_and_pieces(spark, monkeypatch):
             for k in set(table.column("bucket").to_pylist()):
                 settled.append(run(table.filter(pa.compute.equal(table.column("bucket"), k))))
 
-    suffix_dedup.settle_buckets(Grouped(), length)
+    suffix_dedup.settle_buckets(Grouped(), length, 1)
     rows_ = pa.concat_tables(settled).to_pylist()
     assert any(r["hot"] for r in rows_)
     raw = {i: (t or "").encode() for i, t in rows}
