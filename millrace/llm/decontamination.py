@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import textvec as tv
-from millrace.llm.shared import cut, join_dealt, map_text, quoted, ship_package
+from millrace.llm.shared import cut, join_dealt, map_text, quoted, release_memory, ship_package
 
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27  # of a table that tells which hashes may matter
 HOT_TOKENS = 10_000  # occurrences of one token that a task takes, at least
@@ -140,6 +140,7 @@ def token_counts(docs: DataFrame, table, sizes: list[int], text_col: str) -> Dat
             token, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
             if len(token):
                 yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], ["token", "n"])
+        release_memory()
 
     return docs.select(quoted(text_col).cast("string").alias("t")).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 

@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textvec as tv
-from millrace.llm.shared import quoted, ship_package, write_table
+from millrace.llm.shared import quoted, release_memory, ship_package, write_table
 
-REST_TOKENS = 1 << 26  # tokens of open windows that one task packs
+REST_TOKENS = 1 << 23  # tokens of open windows that one task packs
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 #: White_Space beyond ASCII, and the endings that the pre-token rule splits off after an apostrophe.
 WIDE_SPACES = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -107,7 +107,7 @@ def _packed(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarra
 class PretokenCache:
     """Token ids of texts, encoding each different pre-token once; a direct-mapped table of bounded size."""
 
-    def __init__(self, path: str, slots: int = 1 << 21, most_ids: int = 1 << 23):
+    def __init__(self, path: str, slots: int = 1 << 20, most_ids: int = 1 << 22):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -292,6 +292,8 @@ def pack_partitions(docs: DataFrame, length: int, end_id: int, tokenizer_path: s
         left = packer.done + [(*piece, None, None) for piece in packer.take_open()]
         for lo in range(0, len(left), 512):
             yield _rows(left[lo : lo + 512])
+        del left, packer
+        release_memory()
 
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("t"))
     return rows.mapInArrow(run, PIECES)
@@ -311,6 +313,8 @@ def pack_rest(pieces: DataFrame, length: int, tasks: int) -> DataFrame:
         packer.close()
         for lo in range(0, len(packer.done), 512):
             yield _rows(packer.done[lo : lo + 512])
+        del packer
+        release_memory()
 
     return pieces.repartition(tasks).mapInArrow(run, PIECES)
 

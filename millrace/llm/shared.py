@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -13,6 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def release_memory() -> None:
+    """Give what a worker has freed back to the system, since workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers find the package when the driver runs outside its folder."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -40,6 +50,9 @@ def shared_root(spark: SparkSession) -> str:
 _made: list[str] = []
 
 
+ROW_GROUP = 16 << 20  # bytes that a writer of a temporary table holds
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared root."""
     _made.append(f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}")
@@ -63,7 +76,7 @@ def cut(df: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write as Parquet under the shared root and read it back: keeps columnar pruning, survives lost executors."""
     path = fresh_folder(df.sparkSession, label)
-    writer = df.write
+    writer = df.write.option("parquet.block.size", ROW_GROUP)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -103,6 +116,9 @@ def map_text(
             text = batch.column(at).cast(pa.large_string())
             made = handle(text.fill_null(""), text.is_null())
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *(made[n] for n in out.names)], [*(sent[k] for k in kept), *out.names])
+            del made, text, batch
+        del handle
+        release_memory()
 
     return picked.mapInArrow(run, schema)
 

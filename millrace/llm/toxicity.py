@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from millrace.llm import textvec as tv
 from millrace.llm.levenshtein import LexiconAutomaton, Term
-from millrace.llm.shared import cut, map_text, quoted, ship_package
+from millrace.llm.shared import cut, map_text, quoted, release_memory, ship_package
 
 FOLDS = 5
 #: Opening and closing quotation marks as UTF-8.
@@ -153,9 +153,10 @@ def _candidate_counts(rows: DataFrame) -> DataFrame:
                             entry = seen[f] = [0, 0, 0]
                         entry[label] += 1
                         entry[2] |= bits
-                if len(seen) > 400_000:
+                if len(seen) > 150_000:
                     yield from flush()
         yield from flush()
+        release_memory()
 
     made = rows.select("y", "t").mapInArrow(run, "f binary, toxic long, clean long, places long")
     return made.groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_count(F.bit_or("places")).alias("places"))
