@@ -9,13 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import bm25, chunks, retrieval_metrics
+from millrace.operators.hierarchy import LEVELS
 from millrace.sources.raw_dataset import write_lines
 
 GOLD = "query string, split string, answerable boolean, evidence array<struct<document_id:string,start:int,end:int,article:string,clause:string,point:string>>"
 
+_LEVELS = ", ".join(f"{level} string" for level in LEVELS)
+#: Columns of a pilot's folders; dates are read as they are written.
+PILOT = {
+    "documents": "document_id string, source_identifier string, source_url string, source_hash string, fetched_at string, source_status_label string, title string, document_number string, document_type string, effective_status string, effective_from string, effective_to string, source_text string",
+    "units": f"document_id string, pos int, text string, start int, end int, kind string, label string, {_LEVELS}, citation_verified boolean, warning string",
+    "chunks": f"chunk_id string, document_id string, source_identifier string, source_url string, source_hash string, fetched_at string, source_status_label string, document_number string, title string, effective_status string, effective_from string, effective_to string, source_start int, source_end int, content string, embed_text string, heading string, {_LEVELS}, chunk_part int, citation_verified boolean, warnings array<string>",
+}
 
-def read_pilot(spark: SparkSession, folder: Path) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return tuple(spark.read.json(str(folder / name)) for name in ("documents", "units", "chunks"))
+
+def read_pilot(spark: SparkSession, folder: Path) -> tuple[DataFrame, ...]:
+    """documents, units and chunks of a pilot; a line that doesn't fit fails the read, a folder without lines is an empty table."""
+    return tuple(spark.read.schema(columns).option("mode", "FAILFAST").json(str(folder / name)) for name, columns in PILOT.items())
 
 
 def checked_gold(gold: DataFrame, units: DataFrame, documents: DataFrame) -> DataFrame:

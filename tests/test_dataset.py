@@ -77,6 +77,17 @@ def test_pilot_evaluation_and_candidates(spark, tmp_path):
     assert evaluate.export_candidates(spark, tmp_path / "pilot", tmp_path / "cand", 2) == 4
 
 
+def test_pilot_without_verified_chunks(spark, tmp_path):
+    root = dataset(tmp_path / "raw", [{"html": "<p>Lời nói đầu</p>"}])
+    made = pilot.build_pilot(spark, root, tmp_path / "pilot", limit=5)
+    assert (made["chunk_count"], made["discovery_chunk_count"]) == (0, 1)
+    documents, units, verified = evaluate.read_pilot(spark, tmp_path / "pilot")
+    assert (documents.count(), units.count(), verified.count()) == (1, 1, 0) and "embed_text" in verified.columns
+    written = {f.name for f in spark.read.json(str(tmp_path / "pilot" / "documents")).schema} | {f.name for f in spark.read.json(str(tmp_path / "pilot" / "discovery_chunks")).schema}
+    assert written == set(documents.columns) | set(verified.columns)
+    assert evaluate.export_candidates(spark, tmp_path / "pilot", tmp_path / "cand") == 0
+
+
 def replies(*answers):
     left = list(answers)
 
