@@ -9,6 +9,7 @@ from millrace.llm import packing, perspective_chat, secret_scan, simhash_golay,
 from millrace.llm.decontamination import decontaminate
 from millrace.llm.embedding_dedup import embedding_components
 from millrace.llm.suffix_dedup import dedup_substrings
+from millrace.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +62,10 @@ def op10_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_table(spark, sf_dir, "documents"))
 
 
+def op13_chan_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_cross_polytope_dedup": op1_cross_polytope_dedup,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
@@ -72,6 +77,7 @@ QUERIES = {
     "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_difference_cover_dedup": op10_difference_cover_dedup,
+    "op13_chan_whitening": op13_chan_whitening,
 }
 
 ORACLES: dict[str, str] = {
