@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.llm import packing, perspective_chat, secret_scan, simhash_golay, toxicity, warc_bundles, weak_quality
 from millrace.llm.decontamination import decontaminate
 from millrace.llm.embedding_dedup import embedding_components
+from millrace.llm.line_runs import drop_common_lines
 from millrace.llm.suffix_dedup import dedup_substrings
 from millrace.llm.whitening import whiten
 
@@ -62,6 +63,10 @@ def op10_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_table(spark, sf_dir, "documents"))
 
 
+def op11_levelled_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_common_lines(_table(spark, sf_dir, "documents"))
+
+
 def op13_chan_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -77,6 +82,7 @@ QUERIES = {
     "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_difference_cover_dedup": op10_difference_cover_dedup,
+    "op11_levelled_line_dedup": op11_levelled_line_dedup,
     "op13_chan_whitening": op13_chan_whitening,
 }
 
@@ -133,4 +139,13 @@ ORACLES: dict[str, str] = {
                CASE WHEN k.page_id < b.best THEN b.best END AS refers_to
         FROM k LEFT JOIN b ON k.digest = b.digest AND k.n = b.n
     """,
+    "op11_levelled_line_dedup": """
+        WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+        k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        c AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+        j AS (SELECT k.*, c.top IS NOT NULL AND k.doc_id < c.top AS gone FROM k LEFT JOIN c ON k.key = c.key)
+        SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM j GROUP BY doc_id
+    """,
 }
