@@ -10,6 +10,7 @@ from millrace.llm.decontamination import decontaminate
 from millrace.llm.embedding_dedup import embedding_components
 from millrace.llm.line_runs import drop_common_lines
 from millrace.llm.suffix_dedup import dedup_substrings
+from millrace.llm.tiered_search import build_index, search
 from millrace.llm.whitening import whiten
 
 
@@ -67,6 +68,10 @@ def op11_levelled_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_common_lines(_table(spark, sf_dir, "documents"))
 
 
+def op12_tiered_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_chan_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_difference_cover_dedup": op10_difference_cover_dedup,
     "op11_levelled_line_dedup": op11_levelled_line_dedup,
+    "op12_tiered_search": op12_tiered_search,
     "op13_chan_whitening": op13_chan_whitening,
 }
 
@@ -148,4 +154,15 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM j GROUP BY doc_id
     """,
+    "op12_tiered_search": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+        n AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM d WHERE len(t) > 0),
+        m AS (SELECT doc_id, t, 75 + (25 * CAST(len(t) AS BIGINT) * n.n) // n.l AS m FROM d, n WHERE len(t) > 0),
+        tf AS (SELECT doc_id, m, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, m, unnest(t) AS term FROM m) GROUP BY ALL),
+        w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n.n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, n GROUP BY term, n.n),
+        a AS (SELECT item_id, term, CAST(count(*) AS BIGINT) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+        s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM a JOIN tf ON a.term = tf.term JOIN w ON w.term = a.term GROUP BY ALL),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+    """,
 }
