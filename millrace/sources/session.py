@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,3 +25,27 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
     return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name below ``spark.checkpoint.dir``, which the driver and all executors share.
+
+    Where that is unset, a session in one process (master ``local``) takes a folder of its own; a cluster has to name one.
+    """
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = os.environ.setdefault("MILLRACE_LOCAL_FOLDER", tempfile.mkdtemp(prefix="millrace-own-"))
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on its own filesystem."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
