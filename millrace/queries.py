@@ -12,7 +12,7 @@ from millrace.functions import html as H
 from millrace.functions import text as T
 from millrace.operators import bm25, chunks, hierarchy, quality_audit, retrieval_metrics, sampling, term_index
 from millrace.sources.session import read_table, shared_folder, ship_package
-from millrace.streaming import sync_state
+from millrace.streaming import paged_stream, source_state, state_log, sync_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -806,6 +806,52 @@ def sync_state_fold(spark, sf_dir):
     return sync_state.fold_actions(actions_of(spark, sf_dir))
 
 
+PAGES = 8  # of events, in the order of their arrival
+
+
+def put_pages(spark, sf_dir, rows: DataFrame, folder: str, first: int = 0, end: int = PAGES) -> None:
+    """Write pages of rows that have a ``seq`` from 0 on, a page for each eighth of the events."""
+    size = max(1, -(-table(spark, sf_dir, "events").count() // PAGES))
+    paged = rows.withColumn("page", F.expr(f"cast(seq div {size} AS int)")).where(F.col("page").between(first, end - 1))
+    paged.hint("rebalance", F.col("page")).write.mode("append").partitionBy("page").parquet(folder)
+
+
+@query(f"WITH n AS (SELECT greatest(1, CAST(ceil(count(*) / {PAGES}.0) AS BIGINT)) AS size FROM events) SELECT event_id AS seq, event_id // size AS page, event_type FROM events, n")
+def paged_events(spark, sf_dir):
+    """Events as a stream of pages, in two runs from one checkpoint; every page is read once, over several partitions."""
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "event_type")
+    folder, target = shared_folder(spark, "pages"), shared_folder(spark, "paged-events")
+    for first, end in ((0, 3), (3, PAGES)):
+        put_pages(spark, sf_dir, rows, folder, first, end)
+        stream = paged_stream.read_pages(spark, folder, "seq long, event_type string", f"{target}-at.json", pages_per_batch=3, lanes=4)
+        paged_stream.run_once(stream, target, f"{target}-checkpoint")
+    return spark.read.schema("seq long, event_type string, page long").parquet(target)
+
+
+@query(f"WITH {_FOLDED} SELECT source_id, seen, completed, pending FROM folded")
+def keyed_state_stream(spark, sf_dir):
+    """The fold of the action log, kept by key while its pages stream in."""
+    rows = actions_of(spark, sf_dir).join(table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "ts"), "seq")
+    folder, out = shared_folder(spark, "pages"), shared_folder(spark, "keyed-state")
+    put_pages(spark, sf_dir, rows, folder)
+    columns = "source_id string, seq long, action string, ts timestamp"
+    stream = paged_stream.read_pages(spark, folder, columns, f"{out}-at.json", pages_per_batch=4, lanes=4)
+    source_state.run(source_state.keyed_state(stream), out, f"{out}-checkpoint")
+    return source_state.current(spark, out)
+
+
+@query(f"WITH {_FOLDED} SELECT source_id, seen, completed, pending FROM folded")
+def snapshot_state(spark, sf_dir):
+    """The same fold from a snapshot of half the log and the tail that came after it."""
+    log = state_log.StateLog(spark, shared_folder(spark, "state-log"))
+    acts = actions_of(spark, sf_dir).withColumn("part", F.expr("seq % 4"))
+    for part in range(4):
+        log.append(acts.where(F.col("part") == part).drop("part"))
+        if part in (1, 2):
+            log.snapshot()
+    return log.state()
+
+
 @query(f"WITH {_FOLDED} SELECT CAST(count(*) FILTER (WHERE seen) AS BIGINT) AS seen_count, CAST(count(*) FILTER (WHERE completed) AS BIGINT) AS completed_count, CAST(count(*) FILTER (WHERE pending) AS BIGINT) AS pending_count FROM folded")
 def sync_state_counts(spark, sf_dir):
     return sync_state.state_counts(sync_state.fold_actions(actions_of(spark, sf_dir)))
