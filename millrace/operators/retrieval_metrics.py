@@ -89,15 +89,6 @@ def summary(metrics: DataFrame, by: tuple[str, ...] = ("variant",)) -> DataFrame
     return metrics.groupBy(*by).agg(F.count(F.lit(1)).alias("case_count"), *[F.avg(c).alias(names.get(c, c)) for c in own])
 
 
-def latency_percentiles(rows: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """p50: the upper median; p95: the nearest rank."""
-    w = W.partitionBy(*by).orderBy(value)
-    n = F.count(F.lit(1)).over(W.partitionBy(*by))
-    placed = rows.where(F.col(value).isNotNull()).withColumn("i", F.row_number().over(w) - 1).withColumn("n", n)
-    p95 = F.least(F.col("n") - 1, F.ceil(F.col("n") * F.lit(0.95)) - 1)
-    return placed.groupBy(*by).agg(F.max(F.when(F.col("i") == F.floor(F.col("n") / 2), F.col(value))).alias("p50"), F.max(F.when(F.col("i") == p95, F.col(value))).alias("p95"))
-
-
 def resolvable(evidence: DataFrame, units: DataFrame, documents: DataFrame) -> DataFrame:
     """Evidence that names an article, ends within its document and lies in one verified unit with the same keys."""
     e, u = evidence.alias("e"), units.where("citation_verified").alias("u")

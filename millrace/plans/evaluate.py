@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import bm25, chunks, retrieval_metrics
 from millrace.operators.hierarchy import LEVELS
-from millrace.sources.raw_dataset import write_lines
+from millrace.sources.folder_set import OWN, publish
 
 GOLD = "query string, split string, answerable boolean, evidence array<struct<document_id:string,start:int,end:int,article:string,clause:string,point:string>>"
 
@@ -95,7 +95,7 @@ def export_candidates(spark: SparkSession, folder: Path, output: Path, per_docum
     """Units to label, as JSON lines in a new folder; returns how many."""
     documents, units, _ = read_pilot(spark, folder)
     rows = retrieval_metrics.annotation_candidates(units, documents, per_document).persist()
-    write_lines(rows, str(output), ["document_id", "start"])
+    publish(spark, {OWN: (rows, ["document_id", "start"])}, str(output.resolve()))
     n = rows.count()
     rows.unpersist()
     return n

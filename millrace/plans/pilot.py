@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import shutil
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +13,7 @@ from millrace.functions import html as H
 from millrace.functions.text import length_bucket, or_unknown, source_date
 from millrace.operators import chunks, hierarchy, sampling
 from millrace.sources import raw_dataset as raw
+from millrace.sources.folder_set import publish
 
 #: Fixed values of the output's format.
 PARSER_VERSION, SELECTION_VERSION = "hierarchy-v4", "all-eligible-strata-v2"
@@ -96,14 +95,9 @@ def build_pilot(spark: SparkSession, root: Path, output: Path, limit: int = 200,
     broken = chunks.coverage_errors(units, documents, made).first()
     if broken is not None:
         raise ValueError(f"{broken['error']} at {broken['at']} of {broken['document_id']}")
-    staging = output.with_name(f".{output.name}.{uuid.uuid4().hex}.part")
     try:
         verified, rest = chunks.split_verified(made)
         order = ["document_id", "source_start", "source_end"]
-        raw.write_lines(documents, str(staging / "documents"), ["document_id"])
-        raw.write_lines(units, str(staging / "units"), ["document_id", "pos"])
-        raw.write_lines(verified, str(staging / "chunks"), order)
-        raw.write_lines(rest, str(staging / "discovery_chunks"), order)
         ids = [r["source_id"] for r in selected.orderBy("turn", *STRATA).select("source_id").collect()]  # at most ``limit``
         counts = made.groupBy("citation_verified").count().collect()
         by = {r["citation_verified"]: r["count"] for r in counts}
@@ -123,12 +117,9 @@ def build_pilot(spark: SparkSession, root: Path, output: Path, limit: int = 200,
             "rejected_candidates": {r["source_id"]: r["reject_reason"] for r in found.where("reject_reason IS NOT NULL").select("source_id", "reject_reason").toLocalIterator()},
             "stratum_counts": {"|".join(r[s] for s in STRATA): r["n_selected"] for r in sampling.stratum_counts(good, selected, STRATA).collect()},
         }
-        (staging / "pilot_manifest.json").write_text(json.dumps(result, ensure_ascii=False, indent=2), encoding="utf-8")
-        staging.rename(output)
+        tables = {"documents": (documents, ["document_id"]), "units": (units, ["document_id", "pos"]), "chunks": (verified, order), "discovery_chunks": (rest, order)}
+        publish(spark, tables, str(output.resolve()), {"pilot_manifest.json": json.dumps(result, ensure_ascii=False, indent=2)})
         return result
-    except Exception:
-        shutil.rmtree(staging, ignore_errors=True)
-        raise
     finally:
         for df in (found, selected, documents, units, made):
             df.unpersist()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import html as H
 from millrace.functions import text as T
-from millrace.operators import bm25, chunks, hierarchy, quality_audit, retrieval_metrics, sampling, term_index
+from millrace.operators import bm25, chunks, hierarchy, quality_audit, quantiles, retrieval_metrics, sampling, term_index
 from millrace.sources.session import read_table, shared_folder, ship_package
 from millrace.streaming import paged_stream, source_state, state_log, sync_state
 
@@ -491,7 +491,7 @@ def annotation_candidates(spark, sf_dir):
 @query("""WITH v AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL)
     SELECT event_type, max(CASE WHEN i = n // 2 THEN value END) AS p50, max(CASE WHEN i = least(n - 1, ceil(n * 0.95::DOUBLE) - 1) THEN value END) AS p95 FROM v GROUP BY 1""")
 def latency_percentiles(spark, sf_dir):
-    return retrieval_metrics.latency_percentiles(table(spark, sf_dir, "events"), "value", ("event_type",))
+    return quantiles.latency_percentiles(table(spark, sf_dir, "events"), "value", ("event_type",))
 
 
 # --- sampling and audit ----------------------------------------------------------------------------------------------
@@ -825,7 +825,7 @@ def paged_events(spark, sf_dir):
         put_pages(spark, sf_dir, rows, folder, first, end)
         stream = paged_stream.read_pages(spark, folder, "seq long, event_type string", f"{target}-at.json", pages_per_batch=3, lanes=4)
         paged_stream.run_once(stream, target, f"{target}-checkpoint")
-    return spark.read.schema("seq long, event_type string, page long").parquet(target)
+    return spark.read.schema("seq long, event_type string, page long").parquet(target).select("seq", "event_type", "page")
 
 
 @query(f"WITH {_FOLDED} SELECT source_id, seen, completed, pending FROM folded")
