@@ -42,8 +42,8 @@ PIECE = 1 << 21  # bytes of a text that are worked on at once; below 2**24
 TASK_BYTES = 64 << 20  # of texts, whose spans one task takes
 HOT_SPANS = 32  # different spans of one gram in one batch, from which it is hot
 PLACE_BITS = np.uint64((1 << 24) - 1)
-SLOTS = 1 << 20
-SPAN = np.dtype([("gram", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("tag", "<u4"), ("runs", "u1"), ("kind", "u1")])
+LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 26  # bits of a table of ids: sixteen for each id, within these bounds
+SPAN = np.dtype([("gram", "<u8"), ("content", "<u8"), ("more", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("tag", "<u4"), ("runs", "u1"), ("kind", "u1")])
 PLAIN, HOT, MARK, GONE = range(4)  # kinds of rows; GONE: a stretch of ``runs`` zero, its end in ``content``
 
 
@@ -71,10 +71,10 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def spans_of(data: np.ndarray, offsets: np.ndarray, length: int):
-    """(text, start in the bytes, runs, gram, content) of the spans of several texts."""
+    """(text, start in the bytes, runs, gram, content, more) of the spans of several texts."""
     n = len(data)
     if n < length:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 3
     sums = tv.prefix_sums(data)
     _, inverse = tv.powers(n + 1)
     grams = tv.mix((sums[GRAM:] - sums[:-GRAM]) * inverse[: n - GRAM + 1])
@@ -96,7 +96,15 @@ def spans_of(data: np.ndarray, offsets: np.ndarray, length: int):
     last[:-1] &= ~whole[1:] | first[1:]
     stop = np.flatnonzero(last)
     text = np.searchsorted(offsets, start, side="right") - 1
-    return text, start, stop - start + 1, grams[place[start]], tv.span_hashes(sums, start, stop + length)
+    content, more = digests(data, start, stop + length)
+    return text, start, stop - start + 1, grams[place[start]], content, more
+
+
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of BLAKE2b of each stretch, in halves. Grams only bring spans together; this alone makes them equal."""
+    raw, made = memoryview(np.ascontiguousarray(data)), hashlib.blake2b
+    both = np.frombuffer(b"".join([made(raw[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())]), "<u8")
+    return both[::2], both[1::2]
 
 
 def united(doc, tag, start, end):
@@ -118,14 +126,15 @@ def united(doc, tag, start, end):
 
 def settle(rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows left, for each whether its gram has another span or a mark, stretches of equal spans that go)."""
-    rows = rows[np.lexsort([rows["start"], rows["doc"], rows["content"], rows["gram"]])]
+    rows = rows[np.lexsort([rows["start"], rows["doc"], rows["runs"], rows["more"], rows["content"], rows["gram"]])]
     marks = np.unique(rows["gram"][rows["kind"] == MARK])
     rows = rows[rows["kind"] != MARK]
     n = len(rows)
     new_gram = np.ones(n, bool)
     new_gram[1:] = rows["gram"][1:] != rows["gram"][:-1]
     new = new_gram.copy()
-    new[1:] |= (rows["content"][1:] != rows["content"][:-1]) | (rows["runs"][1:] != rows["runs"][:-1])
+    for part in ("content", "more", "runs"):
+        new[1:] |= rows[part][1:] != rows[part][:-1]
     head = np.flatnonzero(new)[np.cumsum(new) - 1] if n else np.zeros(0, np.int64)
     later = (rows["doc"] != rows["doc"][head]) | (rows["start"] != rows["start"][head])
     gone, kept = rows[later], rows[~later]
@@ -171,11 +180,11 @@ def read_spans(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             docs_, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             text, found = batch.column(2).cast(pa.large_string()).fill_null(""), []
             for row, base, data, offsets in pieces(text, length):
-                of, start, runs, gram, content = spans_of(data, offsets, length)
+                of, start, runs, gram, content, more = spans_of(data, offsets, length)
                 part = np.zeros(len(of), SPAN)
                 part["doc"], part["tag"] = docs_[row[of]], tags[row[of]]
                 part["start"], part["runs"] = start - offsets[of] + base[of], runs
-                part["gram"], part["content"] = gram, content
+                part["gram"], part["content"], part["more"] = gram, content, more
                 found.append(part)
             rows = np.concatenate(found) if found else np.zeros(0, SPAN)
             if not len(rows):
@@ -312,19 +321,20 @@ def compare_buckets(rows: DataFrame, length: int, tasks: int) -> DataFrame:
     return rows.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(run, "doc long, tag long, start long, end long")
 
 
-def _slot(column: str):
-    return F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int")
-
-
 def may_hold(keys: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose ``doc`` may be among the keys' and rows whose surely isn't; the bit table has SLOTS bits at most."""
-    bits = np.zeros(SLOTS, bool)
-    for r in keys.select(_slot("doc").alias("s")).distinct().toLocalIterator():
-        bits[r["s"]] = True
-    table = F.lit(bytearray(np.packbits(bits).tobytes()))
-    shared = rows.withColumn("__slot", _slot("doc"))
-    byte = F.conv(F.hex(F.substring(table, F.expr("cast(__slot div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
-    hit = F.getbit(byte, 7 - F.pmod(F.col("__slot"), F.lit(8))) == 1
+    """Rows whose ``doc`` may be among the keys' and rows whose surely isn't, by a bit table of MOST_SLOTS bits at most."""
+    n = keys.agg(F.approx_count_distinct("doc")).first()[0]
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (16 * n).bit_length()))
+    slot = F.pmod(F.xxhash64("doc"), F.lit(slots))
+    table = bytearray(slots // 8)
+    # bitmaps of 4 KB, a row for each stretch of the table
+    parts = keys.select((slot + 1).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+    for r in parts.toLocalIterator():
+        at = (r["part"] - 1) * 4096
+        table[at : at + 4096] = r["bits"]
+    shared = rows.withColumn("__slot", slot)
+    byte = F.conv(F.hex(F.substring(F.lit(table), F.expr("cast(__slot div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, (F.col("__slot") % 8).cast("int")) == 1
     return shared.where(hit).drop("__slot"), shared.where(~hit).drop("__slot")
 
 

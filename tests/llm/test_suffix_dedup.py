@@ -132,5 +132,29 @@ def test_parts():
     d, _, s, e = united(*(np.array(c) for c in ([1, 1, 2, 1], [0] * 4, [0, 5, 2, 20], [10, 12, 4, 30])))
     assert list(zip(d, s, e)) == [(1, 0, 12), (1, 20, 30), (2, 2, 4)]
     raw = np.frombuffer(b"q" * 350, np.uint8)
-    text, start, runs, _, _ = spans_of(raw, np.array([0, 120, 350]), 100)
+    text, start, runs, *_ = spans_of(raw, np.array([0, 120, 350]), 100)
     assert runs.sum() == 21 + 131 and set(text) == {0, 1} and (start + runs + 99 <= np.array([120, 350])[text]).all()
+
+
+def test_spans_are_equal_by_all_bits_of_their_digest():
+    raw = b"q" * 40 + bytes(range(32)) + b"r" * 28
+    other = b"s" * 40 + bytes(range(32)) + b"t" * 28
+    for a in (raw, other):
+        _, start, runs, _, content, more = spans_of(np.frombuffer(a, np.uint8), np.array([0, 100]), 100)
+        assert content.tobytes() + more.tobytes() == hashlib.blake2b(a, digest_size=16).digest() and (start, runs) == (0, 1)
+    # a text made to agree with another one in gram and 64 bits stays
+    rows = np.zeros(3, suffix_dedup.SPAN)
+    rows["gram"], rows["content"], rows["doc"], rows["runs"] = 7, 9, [1, 2, 3], 1
+    rows["more"] = [5, 6, 5]
+    kept, shared, gone = suffix_dedup.settle(rows, 100)
+    assert sorted(kept["doc"]) == [1, 2] and gone["doc"].tolist() == [3] and shared.all()
+
+
+@pytest.mark.parametrize("n", [0, 3, 5000])
+def test_the_table_of_ids_has_no_false_negatives(spark, monkeypatch, n):
+    monkeypatch.setattr(suffix_dedup, "LEAST_SLOTS", 1 << 15)
+    rows = spark.range(20_000).selectExpr("id * 7919 - 1000000 AS doc")
+    keys = rows.where(f"doc % 20000 < {n}") if n else rows.limit(0)
+    near, far = suffix_dedup.may_hold(keys, rows)
+    assert near.join(keys, "doc", "left_semi").count() == keys.count() and near.count() + far.count() == 20_000
+    assert near.count() < keys.count() + 2000
