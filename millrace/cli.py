@@ -119,7 +119,7 @@ def sync(spark: SparkSession, a) -> int:
     identity = {"dataset_version": a.dataset_version, "schema_version": schema, "config_version": schema, "source_identifier": a.prefix, "source_base_url": base, "seed_sha256": hashlib.sha256(settings.encode()).hexdigest()}
     manifest = prepare(root, identity, a.resume)
     most = None if a.all_pages else a.max_pages
-    return _collect(spark, a, root, manifest, "detail", lambda own: collect.collect_listing(own, base, a.prefix, a.page_size, most, a.max_discovery_passes, a.status_scope))
+    return _collect(spark, a, root, manifest, "detail", lambda own: collect.collect_listing(own, collect.Listing(base, a.prefix, a.page_size, most), a.max_discovery_passes, a.status_scope))
 
 
 def extract(spark: SparkSession, a) -> int:

@@ -91,7 +91,7 @@ def strings(node: Node) -> list[str]:
     return out
 
 
-def _within(node: Node, names: tuple[str, ...]) -> bool:
+def within(node: Node, names: tuple[str, ...]) -> bool:
     while node.parent is not None:
         node = node.parent
         if node.name in names:
@@ -121,7 +121,7 @@ def source_lines(html: str | None) -> list[str]:
     for n in blocks:
         if n.name == "tr" and _holds(n, ("p", "li")):
             continue
-        if n.name not in ("tr", "li") and _within(n, ("p", "li")):
+        if n.name not in ("tr", "li") and within(n, ("p", "li")):
             continue
         value = " ".join(s for s in (x.strip() for x in strings(n)) if s)
         if value and (not out or value != out[-1]):

@@ -7,22 +7,24 @@ file say so; a run that is stopped or refused loses nothing that was fetched bef
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from itertools import batched
 from math import ceil
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.text import bucket_exact, is_selected
+from millrace.functions.text import bucket_exact, is_selected, or_unknown
 from millrace.sources import raw_dataset as raw
 from millrace.sources import remote
-from millrace.sources.access import AccessBlocked, OutOfScope, request
 from millrace.sources.content_store import store_payloads
+from millrace.sources.session import shared_folder
 from millrace.sources.state_file import StateFile
+from millrace.streaming import sync_state
 from millrace.streaming.ingest import discovery_complete
 
 SEED = "source_id string, canonical_url string, api_detail_url string, source_status_label string, selection_bucket string"
@@ -111,74 +113,88 @@ class Collection:
         return list(records), failed, refused
 
 
-def pages_of(own: Collection, url: str, number: int, size: int, most: int | None) -> Iterator[tuple[int, int, list, bool]]:
-    """(page, total, items, whether it is the last) of one pass over a listing; every reply is stored as an artifact."""
-    send = remote.transport(own.access.transport)
-    for page in range(1, most + 1) if most else iter(range(1, 1 << 62)):
-        reply = request(send, "POST", url, json_body=remote.listing_body(page, size), pause=own.access.pause)
-        sha, path = raw.store_one(own.root, reply.body, ".json")
-        media = reply.headers.get("content-type", "application/json")
-        own.manifest["discovery_artifacts"].append(raw.artifact(sha, path, kind="discovery_json", source_id=f"{own.manifest['source_identifier']}:list:pass:{number}:page:{page}", source_url=reply.url, fetched_at=datetime.now(timezone.utc).isoformat(), media_type=media, http_status=reply.status))
-        total, items = remote.listing_of(reply)
-        last = not items or page * size >= total
-        yield page, total, items, last
-        if last:
-            return
-
-
-def collect_listing(own: Collection, base: str, prefix: str, size: int, most: int | None, passes: int, scope: str) -> None:
-    """Passes over a paged listing until all of it was seen and its total holds; a checkpoint after every page."""
+@dataclass
+class Listing:
+    """A paged listing: where it is, how large its pages are, how many of them are read at most."""
+
+    base: str
+    prefix: str
+    size: int
+    most: int | None
+
+    def read(self, own: Collection) -> DataFrame:
+        """The replies of one pass, asked for once and kept in the shared folder."""
+        remote.register(own.spark)
+        a, path = own.access, shared_folder(own.spark, "listing")
+        options = {"listUrl": f"{self.base}/public/doc/all", "detailUrl": f"{self.base}/public/doc/{{doc_id}}", "prefix": self.prefix, "pageSize": self.size, "maxPages": self.most or "", "lanes": a.lanes, "pause": a.pause, "transport": a.transport or ""}
+        own.spark.read.format("listing_replies").options(**options).load().write.parquet(path)
+        return own.spark.read.schema(remote.REPLIES).parquet(path)
+
+
+def judged(pages: DataFrame, known: DataFrame, scope: str) -> DataFrame:
+    """The items of a pass with what is known of their sources: (source_id, ..., place, label, fresh, wanted, skipped).
+
+    ``fresh``: met for the first time; ``wanted``: to be fetched, once a source; ``skipped``: of a status that isn't asked for.
+    """
+    items = pages.select("page", F.posexplode("seeds").alias("at", "seed")).select(F.struct("page", "at").alias("place"), "seed.*")
+    rows = items.join(known, "source_id", "left")
+    first = F.row_number().over(W.partitionBy("source_id").orderBy("place")) == 1
+    good = F.lit(True) if scope == "all" else F.coalesce(is_selected("source_status_label"), F.lit(False))
+    open_ = ~F.coalesce("completed", F.lit(False))
+    marks = {"label": or_unknown("source_status_label"), "fresh": first & F.col("completed").isNull(), "wanted": first & open_ & good, "skipped": open_ & ~good}
+    return rows.withColumns(marks | {"selection_bucket": bucket_exact("source_status_label")})
+
+
+def take_in(own: Collection, pages: DataFrame, number: int, scope: str) -> None:
+    """Keep the replies of a pass as artifacts, count its statuses and fetch what is wanted of it."""
+    m, good = own.manifest, pages.where("error IS NULL")
+    store_payloads(good, str(own.root)).count()
+    described = good.withColumn("sha256", F.sha2("payload", 256)).drop("payload", "seeds").orderBy("page")
+    for r in described.toLocalIterator():
+        own_id = f"{m['source_identifier']}:list:pass:{number}:page:{r['page']}"
+        m["discovery_artifacts"].append(raw.artifact(r["sha256"], f"artifacts/{r['sha256']}{r['suffix']}", kind="discovery_json", source_id=own_id, **{k: r[k] for k in ("source_url", "fetched_at", "media_type", "http_status")}))
+    known = own.spark.createDataFrame(own.state.rows(), "source_id string, completed boolean")
+    items = judged(good, known, scope).persist()
+    for name, mark in (("status_counts", "fresh"), ("skipped_status_counts", "skipped")):
+        for r in items.where(mark).groupBy("label").count().collect():  # a row for each status
+            m[name][r["label"]] = m[name].get(r["label"], 0) + r["count"]
+    own.state.note(seen=(r[0] for r in items.where("fresh").select("source_id").toLocalIterator()))
+    seeds = items.where("wanted").orderBy("place").select(*[c.split()[0] for c in SEED.split(", ")])
+    own.fetch(r.asDict() for r in seeds.toLocalIterator())
+    items.unpersist()
+
+
+def collect_listing(own: Collection, listing: Listing, passes: int, scope: str) -> None:
+    """What an earlier run left open, then passes over a listing until all of it was seen while its total held.
+
+    A pass is one read of the listing, whose items are judged together; records and state are kept up batch by batch, so a
+    run that breaks off lists again and fetches only what is missing.
+    """
     m, c = own.manifest, own.manifest["checkpoint"]
-    detail = f"{base}/public/doc/{{doc_id}}"
     own.retry_pending()
     for number in range(1, passes + 1):
-        totals, whole = [], False
-        try:
-            for page, total, items, whole in pages_of(own, f"{base}/public/doc/all", number, size, most):
-                if totals and totals[-1] != total:
-                    m["retrieval_errors"].append(f"the total of pass {number} went from {totals[-1]} to {total}")
-                if c.get("observed_total") not in (None, total):
-                    m["retrieval_errors"].append(f"the observed total went from {c['observed_total']} to {total}")
-                totals.append(total)
-                c["observed_total"] = total
-                own.fetch(wanted(own, remote.listing_seeds(items, detail, prefix), scope))
-                c["last_completed_page"] = page
-                own.checkpoint(discovery_pass=number, passes=passes, page=page, pages=ceil(total / size))
-        except (AccessBlocked, OutOfScope) as e:
-            own.stop(f"{type(e).__name__}:{e}")
-        if not whole:
+        pages = listing.read(own)
+        told = pages.where("error IS NULL").agg(F.max("page").alias("page"), F.max_by(F.struct("total", F.size("seeds").alias("n")), "page").alias("end")).first()
+        drift = sync_state.total_drift(pages.where("error IS NULL").withColumn("pass", F.lit(number)), ["pass"], "page").collect() if told["page"] else []
+        m["retrieval_errors"] += [f"pass {r['pass']}: the total is {r['total']} on page {r['page']}, {r['before']} on the page before" for r in drift]
+        if told["page"]:
+            total, n = told["end"]
+            if c.get("observed_total") not in (None, total):
+                m["retrieval_errors"].append(f"pass {number}: the total is {total}, {c['observed_total']} before")
+            c["observed_total"], c["last_completed_page"] = total, told["page"]
+            take_in(own, pages, number, scope)
+        refused = pages.where("error IS NOT NULL").orderBy("page").select("error").first()
+        if refused:
+            own.stop(refused["error"])
+        if n and told["page"] * listing.size < total:  # the page limit came first
+            own.checkpoint()
             return
-        steady = len(set(totals)) == 1
-        c["stable_total_passes"] = c.get("stable_total_passes", 0) + 1 if steady else 0
-        m["discovery_complete"] = steady and discovery_complete(own.state.counts()["seen_count"], totals[-1], c["stable_total_passes"], passes)
-        m["discovery_incomplete"] = False
-        own.checkpoint(discovery_pass=number, passes=passes, page=page, pages=ceil(total / size))
+        c["stable_total_passes"] = 0 if drift else c.get("stable_total_passes", 0) + 1
+        m["discovery_complete"] = not drift and discovery_complete(own.state.counts()["seen_count"], total, c["stable_total_passes"], passes)
+        m["discovery_incomplete"] = not m["discovery_complete"] and number == passes
+        own.checkpoint(discovery_pass=number, passes=passes, page=told["page"], pages=ceil(total / listing.size))
         if m["discovery_complete"]:
             return
-    m["discovery_incomplete"] = True
-    own.checkpoint()
-
-
-def wanted(own: Collection, seeds: list[dict], scope: str) -> list[dict]:
-    """The seeds of a page that are to be fetched; statuses count when first seen, unwanted ones each time."""
-    if not seeds:
-        return []
-    rows = own.spark.createDataFrame([(i, s["source_status_label"]) for i, s in enumerate(seeds)], "i int, label string")
-    judged = {r["i"]: r for r in rows.select("i", bucket_exact("label").alias("bucket"), F.coalesce(is_selected("label"), F.lit(False)).alias("good")).collect()}
-    out = []
-    for i, seed in enumerate(seeds):
-        seen, completed = own.state.status(seed["source_id"])
-        if completed:
-            continue
-        label = seed["source_status_label"] or "unknown"
-        if not seen:
-            own.state.note(seen=[seed["source_id"]])
-            own.manifest["status_counts"][label] = own.manifest["status_counts"].get(label, 0) + 1
-        if scope == "selected" and not judged[i]["good"]:
-            own.manifest["skipped_status_counts"][label] = own.manifest["skipped_status_counts"].get(label, 0) + 1
-            continue
-        out.append({**seed, "selection_bucket": judged[i]["bucket"]})
-    return out
 
 
 def extract_pdfs(spark: SparkSession, root: Path, reader: str, version: str = "1") -> dict[str, int]:

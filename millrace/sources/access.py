@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from urllib.parse import urlsplit
 
-from millrace.functions.html import Tree, strings
+from millrace.functions.html import Tree, strings, within
 
 #: Phrases of a challenge page, its form fields, and statuses that are worth another try.
 CHALLENGES = ("verify you are human", "complete the captcha", "access denied", "unusual traffic")
@@ -64,7 +64,7 @@ def is_blocked(reply: Reply) -> bool:
     tree = Tree(reply.text)
     title = next((" ".join(strings(n)).lower() for n in tree.nodes if n.name == "title"), "")
     body = " ".join("".join(strings(tree.root)).lower().split())
-    form = any(n.attrs.get("name") in CHALLENGE_FIELDS for n in tree.nodes)
+    form = any(n.attrs.get("name") in CHALLENGE_FIELDS and within(n, ("form",)) for n in tree.nodes)
     return form or "captcha" in title or any(c in body for c in CHALLENGES)
 
 

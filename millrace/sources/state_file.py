@@ -38,6 +38,10 @@ class StateFile:
         row = self.db.execute("SELECT seen, completed FROM documents WHERE source_id = ?", (source_id,)).fetchone()
         return (bool(row[0]), bool(row[1])) if row else (False, False)
 
+    def rows(self) -> list[tuple[str, bool]]:
+        """(source, completed) of all sources."""
+        return [(i, bool(done)) for i, done in self.db.execute("SELECT source_id, completed FROM documents")]
+
     def pending(self) -> list[str]:
         return [i for (i,) in self.db.execute("SELECT source_id FROM pending ORDER BY source_id")]
 

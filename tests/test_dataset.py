@@ -173,3 +173,19 @@ def test_pdf_quarantine():
     assert remote.pdf_pages(b"x", lambda b: 1 / 0)["warning"] == "pdf_read_error:ZeroDivisionError"
     assert remote.pdf_pages(b"x", lambda b: [" ", None])["warning"] == "no_extractable_text"
     assert remote.pdf_pages(b"x", lambda b: ["a"])["status"] == "extracted"
+
+
+def test_a_challenge_field_counts_within_a_form_only():
+    field = '<input name="g-recaptcha-response">'
+    assert access.is_blocked(Reply(200, "https://h/a", f"<form><div>{field}</div></form>".encode()))
+    assert not access.is_blocked(Reply(200, "https://h/a", f"<form></form><p>{field}</p>".encode()))
+
+
+def test_names_are_followed_to_where_they_lead(tmp_path):
+    root, other = tmp_path / "root", tmp_path / "root2"
+    for p in (root, other):
+        (p / "a").mkdir(parents=True)
+    (root / "a" / "out").symlink_to(other)
+    (root / "a" / "in").symlink_to(root / "a")
+    for name, good in (("a/x", True), ("a/../a/x", True), ("a/in/x", True), ("a/out/x", False), ("../root2/x", False), ("/etc/x", False), (None, False), (7, False)):
+        assert (raw_dataset.confined(root, name) is not None) == good, name
