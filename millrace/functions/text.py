@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters of status labels with and without marks (the letter đ has no plain form and is dropped).
-MARKED = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵ"
-PLAIN = "aaaaaaaaaaaaaaaaaeeeeeeeeeeeiiiiiooooooooooooooooouuuuuuuuuuuyyyyy"
 #: Folded status labels.
 ACTIVE, PARTIAL, FUTURE = "con hieu luc", "het hieu luc mot phan", "chua co hieu luc"
 EXPIRED = "het hieu luc toan bo"
 
 
+
+
+def _bare_letters() -> tuple[dict[str, str], dict[str, str]]:
+    """What case folding and canonical decomposition leave of each character within ASCII: (one letter, several); derived."""
+    one, more = {}, {}
+    for c in (chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000):
+        left = unicodedata.normalize("NFD", c.casefold()).encode("ascii", "ignore").decode()
+        if left and left != c:
+            (one if len(left) == 1 else more)[c] = left
+    return one, more
+
+
+BARE, BARE_MORE = _bare_letters()
+
+
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -86,9 +100,11 @@ def or_unknown(value) -> Column:
 
 
 def folded(label) -> Column:
-    """Lower case without marks or anything else beyond ASCII."""
-    bare = F.regexp_replace(F.lower(col(label)), r"[̀-ͯ]", "")
-    return F.regexp_replace(F.translate(bare, MARKED, PLAIN), r"[^\x00-\x7F]", "")
+    """Case-folded and decomposed, without anything beyond ASCII: marks go, base letters stay, letters without one go."""
+    bare = F.translate(col(label), "".join(BARE), "".join(BARE.values()))
+    for several, left in BARE_MORE.items():  # ß and ligatures
+        bare = F.replace(bare, F.lit(several), F.lit(left))
+    return F.regexp_replace(bare, r"[^\x00-\x7F]", "")
 
 
 def bucket_exact(label) -> Column:

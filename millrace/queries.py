@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import html as H
 from millrace.functions import text as T
-from millrace.operators import bm25, chunks, hierarchy, quality_audit, quantiles, retrieval_metrics, sampling, term_index
+from millrace.operators import bm25, chunks, hierarchy, quality_audit, quantiles, retrieval_metrics, sampling, term_index, validity
 from millrace.sources.session import read_table, shared_folder, ship_package
 from millrace.streaming import paged_stream, source_state, state_log, sync_state
 
@@ -735,7 +735,7 @@ def https_fallback(spark, sf_dir):
 
 STATUS = ["Còn hiệu lực", "Hết hiệu lực một phần", "Chưa có hiệu lực", "Hết hiệu lực toàn bộ", "CÒN HIỆU LỰC", "Đã hết hiệu lực", "Ngưng", "", None]
 _STATUS_SQL = "CASE doc_id % 9 " + " ".join(f"WHEN {i} THEN {'NULL' if s is None else repr(s)}" for i, s in enumerate(STATUS)) + " END"
-_FOLD = f"regexp_replace(translate(lower(s), '{T.MARKED}', '{T.PLAIN}'), '[^\\x00-\\x7F]', '', 'g')"
+_FOLD = r"regexp_replace(replace(replace(lower(strip_accents(s)), 'đ', ''), 'ß', 'ss'), '[^\x00-\x7F]', '', 'g')"
 
 
 def _statuses(spark, sf_dir) -> DataFrame:
@@ -782,6 +782,21 @@ def reversed_dates(spark, sf_dir):
     return rows.where(end < start).select("l_orderkey", "l_linenumber", start.alias("eff_from"), end.alias("eff_to"))
 
 
+_VERSIONS = """versions AS (SELECT o_custkey, o_orderdate AS start, max(CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '9999-01-01' ELSE o_orderdate + to_days(CAST(o_orderkey % 400 AS INT)) END) AS "end", max_by(o_orderpriority, (CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '9999-01-01' ELSE o_orderdate + to_days(CAST(o_orderkey % 400 AS INT)) END, o_orderpriority)) AS label
+    FROM orders WHERE o_orderkey % 5 = 0 GROUP BY 1, 2)"""
+
+
+@query(f"""WITH {_VERSIONS}, asked AS (SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderkey % 5 <> 0)
+    SELECT a.o_orderkey, CASE WHEN a.o_orderdate <= v."end" THEN v.label END AS label FROM asked a ASOF LEFT JOIN versions v ON a.o_custkey = v.o_custkey AND a.o_orderdate >= v.start""")
+def status_as_of(spark, sf_dir):
+    """The status of a customer at each order's date; each fifth order begins a status, a third of them are open, many overlap."""
+    orders = table(spark, sf_dir, "orders")
+    to = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate") + F.make_dt_interval(F.col("o_orderkey") % 400))
+    versions = orders.where("o_orderkey % 5 = 0").select("o_custkey", F.col("o_orderdate").alias("start"), to.alias("end"), F.col("o_orderpriority").alias("label"))
+    asked = orders.where("o_orderkey % 5 <> 0").select("o_orderkey", "o_custkey", "o_orderdate")
+    return validity.as_of(asked, versions, "o_custkey", "o_orderdate", keep=("label",)).select("o_orderkey", "label")
+
+
 # --- incremental state -----------------------------------------------------------------------------------------------
 
 _LOG = "log AS (SELECT CAST(user_id AS VARCHAR) AS source_id, event_id, event_type FROM events)"

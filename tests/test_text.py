@@ -1,3 +1,4 @@
+import unicodedata
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -50,3 +51,11 @@ def test_terms_are_counted_within_the_row(spark):
 
 def test_tokens_are_null_safe(spark):
     assert spark.range(1).select(F.size(T.tokens(F.lit("")))).first()[0] == 0
+
+
+def test_labels_fold_like_case_folding_and_decomposition(spark):
+    labels = ["Còn hiệu lực", "ĐÃ HẾT", "Straße", "ǅungla", "naïve ÇA ñ Ö", "ﬁn", "ẹ́", "Ŀ ŀ", "K Å", "日本 x", "", "İstanbul", "ŉ"]
+    rows = spark.createDataFrame([(x,) for x in labels] + [(None,)], "s string").select("s", T.folded("s").alias("f")).collect()
+    for r in rows:
+        want = None if r["s"] is None else unicodedata.normalize("NFD", r["s"].casefold()).encode("ascii", "ignore").decode()
+        assert r["f"] == want, r["s"]
