@@ -12,7 +12,7 @@ from millrace.functions import html as H
 from millrace.functions import text as T
 from millrace.operators import bm25, chunks, hierarchy, quality_audit, quantiles, retrieval_metrics, sampling, term_index, validity
 from millrace.sources.session import read_table, shared_folder, ship_package
-from millrace.streaming import paged_stream, source_state, state_log, sync_state
+from millrace.streaming import ingest, paged_stream, source_state, state_log, sync_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -855,6 +855,35 @@ def keyed_state_stream(spark, sf_dir):
     return source_state.current(spark, out)
 
 
+_ARRIVALS = f"""n AS (SELECT count(*) AS n, greatest(1, CAST(ceil(count(*) / {PAGES}.0) AS BIGINT)) AS size FROM events),
+    sent AS (SELECT event_id + CASE WHEN event_id % 50 = 0 THEN n // 2 ELSE 0 END AS seq, user_id, event_type, ts FROM events, n
+             UNION ALL SELECT event_id + n // 3, user_id, event_type, ts FROM events, n WHERE event_id % 7 = 0),
+    came AS (SELECT seq // size // 2 AS batch, user_id, event_type, date_trunc('day', ts) AS day FROM sent, n),
+    tops AS (SELECT batch, max(max(day)) OVER (ORDER BY batch) - INTERVAL 2 DAY AS reached FROM came GROUP BY batch)"""
+
+
+@query(f"""WITH {_ARRIVALS}, marks AS (SELECT c.batch, max(t.reached) AS mark FROM (SELECT DISTINCT batch FROM came) c LEFT JOIN tops t ON t.batch < c.batch - 1 GROUP BY 1)
+    SELECT DISTINCT user_id, event_type, CAST(day AS DATE) AS day FROM came c JOIN marks m ON c.batch = m.batch WHERE m.mark IS NULL OR c.day > m.mark""")
+def streamed_dedup(spark, sf_dir):
+    """What users did on each day, once, from a stream in which a seventh comes again and a fiftieth comes late.
+
+    Rows later than two days behind the watermark are dropped, repeated ones are told by the state of their digests, which ends with
+    the watermark. The watermark that rows have to beat is that of the batch before theirs.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    n = events.count()
+    once = events.withColumn("seq", F.col("event_id") + F.when(F.col("event_id") % 50 == 0, n // 2).otherwise(0))
+    sent = once.unionByName(events.where("event_id % 7 = 0").withColumn("seq", F.col("event_id") + n // 3))
+    day = F.date_trunc("day", "ts")
+    digest = F.sha2(F.concat_ws("|", "user_id", "event_type", day.cast("string")), 256)
+    folder, out = shared_folder(spark, "pages"), shared_folder(spark, "streamed-dedup")
+    put_pages(spark, sf_dir, sent.select("seq", "user_id", "event_type", day.alias("day"), digest.alias("sha256")), folder, 0, 2 * PAGES)
+    columns = "seq long, user_id long, event_type string, day timestamp, sha256 string"
+    stream = paged_stream.read_pages(spark, folder, columns, f"{out}-at.json", pages_per_batch=2, lanes=4)
+    paged_stream.run_once(ingest.dedup_content(stream, "2 days", "day"), out, f"{out}-checkpoint")
+    return spark.read.schema(f"{columns}, batch long").parquet(out).select("user_id", "event_type", F.col("day").cast("date").alias("day"))
+
+
 @query(f"WITH {_FOLDED} SELECT source_id, seen, completed, pending FROM folded")
 def snapshot_state(spark, sf_dir):
     """The same fold from a snapshot of half the log and the tail that came after it."""

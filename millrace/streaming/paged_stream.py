@@ -134,6 +134,7 @@ def read_pages(spark: SparkSession, path: str, columns: str, progress: str, page
 
 def run_once(stream, folder: str, checkpoint: str) -> None:
     """Write a stream's rows below ``folder``, a folder for each batch, until all pages that are there are read."""
+    stream.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # they would move watermarks
     query = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")).start()
     try:
         query.processAllAvailable()
