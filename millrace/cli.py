@@ -134,8 +134,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 2
     spark = spark or SparkSession.builder.appName("millrace").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.command == "audit-corpus":
-        report = audit.audit_dataset(spark, Path(a.dataset_root))
-        raw.write_json_once(Path(a.report_out), report)
+        report, issues = audit.audit_tables(spark, Path(a.dataset_root))
+        audit.write_report(Path(a.report_out), report, issues)
         print(json.dumps(report["counts"], ensure_ascii=False))
     elif a.command == "build-pilot":
         print(json.dumps(pilot.build_pilot(spark, Path(a.dataset_root), Path(a.output), a.limit, a.seed, a.max_chars), ensure_ascii=False))

@@ -13,6 +13,16 @@ FIELDS = ("id", "title", "docNum", "docType", "effStatus")
 DATES = ("issueDate", "effFrom", "effTo")
 
 
+#: The codes that findings of lines, references and documents can have.
+CODES = (
+    "invalid_record_json", "missing_source_id", "duplicate_record_id", "unsafe_path", "missing_artifact", "hash_mismatch",
+    "artifact_source_id_mismatch", "missing_provenance", "non_200_artifact", "json_reference_count", "html_reference_count",
+    "artifact_source_url_mismatch", "missing_html", "missing_document_data", *(f"missing_{f}" for f in FIELDS),
+    *(f"invalid_{d}" for d in DATES), "reversed_effective_dates", "record_error", "invalid_document_json", "invalid_html_encoding",
+    "empty_html", "json_html_mismatch",
+)
+
+
 def falsy(json_text: Column) -> Column:
     """Whether a JSON value is absent, null, false, zero or empty."""
     return json_text.isNull() | json_text.isin("null", "false", '""', "[]", "{}") | json_text.rlike(r"^-?0(\.0*)?$")

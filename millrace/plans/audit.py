@@ -1,18 +1,43 @@
-"""Audit of a raw dataset folder: all rules, counters and reconciliations in one report. Nothing is changed."""
+"""Audit of a raw dataset folder: all rules, counters and reconciliations in one report. The dataset isn't changed.
+
+Findings are a table in the shared folder. Its rows, orphans and usable documents are counted in the pass that writes it, so only
+counts come to the driver.
+"""
 
 from __future__ import annotations
 
+import json
 import sqlite3
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import quality_audit as qa
 from millrace.sources import raw_dataset as raw
+from millrace.sources.session import shared_folder
+
+ORPHAN, USABLE = "#orphan", "#usable"  # marks of rows that are counted with the findings
 
 
 def audit_dataset(spark: SparkSession, root: Path) -> dict:
+    """The whole report with its issues as a list; for datasets whose findings fit the driver."""
+    report, issues = audit_tables(spark, root)
+    return report | {"issues": [r.asDict() for r in issues.collect()]}
+
+
+def write_report(path: Path, report: dict, issues: DataFrame) -> None:
+    """A new file with the report and its issues, which pass through the driver partition by partition."""
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with path.open("x", encoding="utf-8") as out:
+        out.write(json.dumps(report, ensure_ascii=False, indent=2).removesuffix("\n}") + ',\n  "issues": [')
+        for n, r in enumerate(issues.toLocalIterator()):
+            out.write(f"{',' if n else ''}\n    {json.dumps(r.asDict(), ensure_ascii=False)}")
+        out.write("\n  ]\n}\n")
+
+
+def audit_tables(spark: SparkSession, root: Path) -> tuple[dict, DataFrame]:
+    """(the report without its issues, issues (source_id, code) in order)."""
     manifest = raw.read_manifest(root)
     log = raw.record_log_path(root, manifest)
     folder = root / "artifacts"
@@ -30,8 +55,15 @@ def audit_dataset(spark: SparkSession, root: Path) -> dict:
     found = qa.line_issues(parsed).unionByName(qa.repeated_records(records))
     for part in (qa.reference_issues(checked), qa.reference_issues(checked_discovery), qa.document_issues(state)):
         found = found.unionByName(part)
-    listed = [tuple(r) for r in found.collect()]
-    n_records = records.count()
+    named = checked.select(F.col("path").alias("relative_path")).unionByName(checked_discovery.select(F.col("path").alias("relative_path")))
+    for mark, rows in ((ORPHAN, qa.orphans(files.select("relative_path"), named)), (USABLE, qa.usable(state))):
+        found = found.unionByName(rows.select(F.lit(None).cast("string").alias("source_id"), F.lit(mark).alias("code")))
+    told, path = Observation(), shared_folder(spark, "findings")
+    counted = found.observe(told, *[F.count_if(F.col("code") == c).alias(c) for c in (ORPHAN, USABLE, *qa.CODES)])
+    counted.where(~F.col("code").isin(ORPHAN, USABLE)).write.parquet(path)
+    by_code = told.get
+    statuses = {r["status"]: r["n"] for r in qa.count_by_status(records.select("r.source_status_label")).collect()}
+    n_records, listed = sum(statuses.values()), []
     checkpoint = manifest.get("checkpoint") or {}
     if n_records != manifest.get("record_count"):
         listed.append(("manifest", "record_count_mismatch"))
@@ -47,23 +79,22 @@ def audit_dataset(spark: SparkSession, root: Path) -> dict:
             listed += qa.mismatches(state_counts, checkpoint, "sync-state", "state_{}_mismatch")
         except sqlite3.DatabaseError:
             listed.append(("sync-state", "state_unreadable"))
-    named = checked.select(F.col("path").alias("relative_path")).unionByName(checked_discovery.select(F.col("path").alias("relative_path")))
-    counts["orphan_artifacts"] = qa.orphans(files.select("relative_path"), named).count()
-    counts["usable_documents"] = qa.usable(state).count()
-    for code in ("empty_html", "missing_html", "hash_mismatch"):
-        counts[code] = 0
+    counts["orphan_artifacts"], counts["usable_documents"] = by_code.pop(ORPHAN), by_code.pop(USABLE)
+    counts |= dict.fromkeys(("empty_html", "missing_html", "hash_mismatch"), 0) | {c: n for c, n in by_code.items() if n}
     for _, code in listed:
         counts[code] = counts.get(code, 0) + 1
-    statuses = {r["status"]: r["n"] for r in qa.count_by_status(records.select("r.source_status_label")).collect()}
     for df in (records, files, state):
         df.unpersist()
+    issues = spark.read.schema("source_id string, code string").parquet(path)
+    if listed:
+        issues = issues.unionByName(spark.createDataFrame(listed, "source_id string, code string"))
     keys = ("dataset_version", "schema_version", "config_version")
-    return {
+    report = {
         **{k: manifest.get(k) for k in keys},
         "discovery_complete": manifest.get("discovery_complete", False),
         "discovery_incomplete": manifest.get("discovery_incomplete", False),
         "counts": counts,
         "statuses": statuses,
         "state_counts": state_counts,
-        "issues": [{"source_id": s, "code": c} for s, c in sorted(listed)],
     }
+    return report, issues.orderBy("source_id", "code")

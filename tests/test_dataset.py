@@ -7,6 +7,7 @@ import pytest
 
 from millrace import cli
 from millrace.functions.html import links, source_lines, visible_length
+from millrace.operators import quality_audit
 from millrace.plans import audit, evaluate, pilot
 from millrace.sources import access, raw_dataset, remote
 from millrace.sources.access import AccessBlocked, OutOfScope, Reply, request
@@ -51,6 +52,12 @@ def test_audit_findings(spark, tmp_path):
     assert (counts["records"], counts["usable_documents"], counts["unseen_vs_observed"], counts["missing_html"]) == (10, 4, 3, 1)
     assert report["state_counts"] == {"seen_count": 2, "completed_count": 1, "pending_count": 0} and report["statuses"] == {"Còn hiệu lực": 10}
     assert counts["orphan_artifacts"] == 1
+    assert all(counts.get(c, 0) == sum(i["code"] == c for i in report["issues"]) for c in quality_audit.CODES)
+    table, issues = audit.audit_tables(spark, root)
+    audit.write_report(tmp_path / "report.json", table, issues)
+    assert json.loads((tmp_path / "report.json").read_text(encoding="utf-8")) == report
+    with pytest.raises(FileExistsError):
+        audit.write_report(tmp_path / "report.json", table, issues)
 
 
 def test_pilot_evaluation_and_candidates(spark, tmp_path):
