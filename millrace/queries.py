@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import html as H
 from millrace.functions import text as T
-from millrace.operators import bm25, chunks, hierarchy, quality_audit, quantiles, retrieval_metrics, sampling, term_index, validity
+from millrace.operators import bm25, chunks, context, hierarchy, quality_audit, quantiles, retrieval_metrics, sampling, term_index, validity
 from millrace.sources.session import read_table, shared_folder, ship_package
 from millrace.streaming import ingest, paged_stream, source_state, state_log, sync_state
 
@@ -372,6 +372,18 @@ def gold_spans(spark, sf_dir):
     return gold_of(spark, sf_dir).select("query_id", "document_id", "start", "end")
 
 
+@query()
+def context_pack(spark, sf_dir):
+    """What goes into a context of 600 tokens for each item, from the twenty best pieces of two sizes, which overlap."""
+    pieces = None
+    for size in (1800, 500):
+        own = pieces_of(spark, sf_dir, size).withColumn("chunk_id", F.concat_ws(":", F.lit(size), "chunk_id"))
+        pieces = own if pieces is None else pieces.unionByName(own)
+    sized = pieces.select("chunk_id", "document_id", "source_start", "source_end", F.size(T.tokens("embed_text")).cast("long").alias("n_tokens"))
+    best = bm25.top_k(bm25.scores(pieces, asked_of(spark, sf_dir)), 20)
+    return context.pack_context(best.join(sized, "chunk_id"), 600).select("query_id", "rank", "document_id", "start", "end", "tokens", "used")
+
+
 _COVER = """
     hit AS (SELECT g.query_id, g.document_id, g.start AS es, g."end" AS ee, r.rank, greatest(r.source_start, g.start) AS s, least(r.source_end, g."end") AS t
             FROM gold g JOIN ranked20 r ON g.query_id = r.query_id AND g.document_id = r.document_id AND r.source_start < g."end" AND r.source_end > g.start),
