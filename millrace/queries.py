@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import html as H
 from millrace.functions import text as T
-from millrace.operators import bm25, chunks, context, hierarchy, quality_audit, quantiles, retrieval_metrics, sampling, term_index, validity
+from millrace.operators import bm25, chunks, citations, context, hierarchy, quality_audit, quantiles, retrieval_metrics, sampling, term_index, validity
 from millrace.sources.session import read_table, shared_folder, ship_package
 from millrace.streaming import ingest, paged_stream, source_state, state_log, sync_state
 
@@ -384,6 +384,20 @@ def context_pack(spark, sf_dir):
     return context.pack_context(best.join(sized, "chunk_id"), 600).select("query_id", "rank", "document_id", "start", "end", "tokens", "used")
 
 
+@query()
+def citation_audit(spark, sf_dir):
+    """Sentences of documents that cite their own text or that of the next one, and the openings of conversations, which cite some document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("document_id"), "text")
+    own = F.array_join(F.slice(T.tokens("text"), F.lit(11), F.lit(14)), " ")
+    cited = F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")).otherwise(F.col("doc_id") + 1).cast("string")
+    said = docs.select("document_id", own.alias("sentence"), cited.alias("cited_id")).where("sentence <> ''")
+    taken = said.select(F.concat(F.lit("d"), "document_id").alias("answer_id"), F.lit(0).alias("sentence_no"), "sentence", F.col("cited_id").alias("document_id"), F.lit(0).alias("start"), F.lit(2000).alias("end"))
+    turns = table(spark, sf_dir, "conversations")
+    opening = F.array_join(F.slice(T.tokens("text"), F.lit(1), F.lit(14)), " ")
+    loose = turns.select(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("answer_id"), F.col("turn").cast("int").alias("sentence_no"), opening.alias("sentence"), F.col("conv_id").cast("string").alias("document_id"), F.lit(0).alias("start"), F.lit(500).alias("end"))
+    return citations.audit_citations(taken.unionByName(loose), docs.select("document_id", "text"))
+
+
 _COVER = """
     hit AS (SELECT g.query_id, g.document_id, g.start AS es, g."end" AS ee, r.rank, greatest(r.source_start, g.start) AS s, least(r.source_end, g."end") AS t
             FROM gold g JOIN ranked20 r ON g.query_id = r.query_id AND g.document_id = r.document_id AND r.source_start < g."end" AND r.source_end > g.start),
