@@ -20,6 +20,8 @@ HEADINGS = (
     ("point", r"(?iuU)^([a-zđ])\)\s+"),
 )
 UNVERIFIED = r"(?U)^(?:Điều|ĐIỀU)\b"
+#: Warnings of lines, which the place of the line follows.
+ORPHAN_POINT, STRAY_ARTICLE = "orphan point at offset ", "unverified article heading at offset "
 
 
 def split_lines(docs: DataFrame, doc_col: str = "document_id", text_col: str = "text") -> DataFrame:
@@ -81,7 +83,7 @@ def with_hierarchy(lines: DataFrame) -> DataFrame:
     rows = rows.withColumn("article", _carried(w, at["article"], upper | lost)).withColumn("point", _carried(w, at["point"] & ~F.col("orphan"), upper | at["article"] | at["clause"] | lost))
     verified = F.col("kind").isin("article", "clause", "point", "text") & F.col("article").isNotNull() & ~lost
     label = F.coalesce(*[F.when(at[k], F.col(k)) for k in LEVELS])
-    warning = F.when(F.col("orphan"), F.concat(F.lit("orphan point at offset "), F.col("start"))).when(F.col("stray"), F.concat(F.lit("unverified article heading at offset "), F.col("start")))
+    warning = F.when(F.col("orphan"), F.concat(F.lit(ORPHAN_POINT), F.col("start"))).when(F.col("stray"), F.concat(F.lit(STRAY_ARTICLE), F.col("start")))
     return rows.select(*lines.columns, "kind", label.alias("label"), *LEVELS, verified.alias("citation_verified"), warning.alias("warning"))
 
 

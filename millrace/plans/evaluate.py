@@ -39,9 +39,9 @@ def checked_gold(gold: DataFrame, units: DataFrame, documents: DataFrame) -> Dat
     known = retrieval_metrics.resolvable(evidence, units, documents)
     broken = broken or evidence.join(known.select("query_id", "evidence_id"), ["query_id", "evidence_id"], "left_anti").first()
     if broken is not None:
-        raise ValueError(f"unresolvable gold evidence: {broken['document_id']}:{broken['start']}-{broken['end']}")
+        raise ValueError(f"no verified unit holds the evidence at {broken['start']} to {broken['end']} of {broken['document_id']}")
     if retrieval_metrics.leaked_documents(evidence.select("split", "document_id")).first() is not None:
-        raise ValueError("document leakage between dev and test gold splits")
+        raise ValueError("a document is evidence in both splits")
     return evidence
 
 
@@ -65,7 +65,7 @@ def _evaluate(spark: SparkSession, folder: Path, gold_path: Path, top_k: int, sp
     documents, units, verified = map(keep, read_pilot(spark, folder))
     gold = keep(spark.read.schema(GOLD).option("mode", "FAILFAST").json(str(gold_path)).coalesce(1))
     if gold.where((F.col("split") == split) & F.coalesce("answerable", F.lit(True))).first() is None:
-        raise ValueError("no labelled answerable cases for the requested split")
+        raise ValueError(f"no answerable case is labelled {split}")
     evidence = keep(checked_gold(gold, units, documents))
     asked = evidence.where((F.col("split") == split) & F.col("answerable"))
     questions = asked.select("query_id", "query").distinct()

@@ -90,14 +90,7 @@ def _null(x: str) -> str:
     return f"nullif({x}, '')"
 
 
-_RULES = [
-    ("part", r"^(?:PHẦN|Phần)\s+([IVXLCDM]+|\d+)\b"),
-    ("chapter", r"^(?:CHƯƠNG|Chương)\s+([IVXLCDM]+|\d+)\b"),
-    ("section", r"^(?:MỤC|Mục)\s+([IVXLCDM]+|\d+)\b"),
-    ("article", r"^(?:ĐIỀU|Điều)\s+(\d+[a-zA-Z]?)\s*[.:]?(?:\s|$)"),
-    ("clause", r"^(\d+)\.\s+"),
-    ("point", r"(?i)^([a-zđ])\)\s+"),
-]
+_RULES = [(kind, pattern.replace("(?iuU)", "(?i)").replace("(?U)", "")) for kind, pattern in hierarchy.HEADINGS]
 _UPPER = "kind IN ('part', 'chapter', 'section')"
 UNITS = f"""{NUMBERED},{PLACED.format(src="numbered")},
     kinds AS (SELECT *, CASE {" ".join(f"WHEN regexp_matches(text, '{p}') THEN '{k}'" for k, p in _RULES)} ELSE 'text' END AS kind,
@@ -115,7 +108,7 @@ UNITS = f"""{NUMBERED},{PLACED.format(src="numbered")},
                      CASE kind WHEN 'part' THEN part WHEN 'chapter' THEN chapter WHEN 'section' THEN section WHEN 'article' THEN article WHEN 'clause' THEN clause WHEN 'point' THEN point END AS label,
                      part, chapter, section, article, clause, point,
                      kind IN ('article', 'clause', 'point', 'text') AND article IS NOT NULL AND NOT stray AND NOT orphan AS citation_verified,
-                     CASE WHEN orphan THEN 'orphan point at offset ' || start WHEN stray THEN 'unverified article heading at offset ' || start END AS warning
+                     CASE WHEN orphan THEN '{hierarchy.ORPHAN_POINT}' || start WHEN stray THEN '{hierarchy.STRAY_ARTICLE}' || start END AS warning
               FROM three)"""
 _SAME = " AND ".join(f"{k} IS NOT DISTINCT FROM lag({k}) OVER w" for k in ("citation_verified", *hierarchy.LEVELS))
 MERGED = f"""{UNITS},

@@ -92,7 +92,7 @@ def request(send: Transport, method: str, url: str, *, allowed: tuple[str, str]
     """A reply of the allowed origin. ``rate_first``: a rate limit is looked at before where the reply came from."""
     allowed = allowed or origin(url)
     if origin(url) != allowed:
-        raise OutOfScope(f"out-of-scope URL: {url}")
+        raise OutOfScope(f"{url} is not of the agreed origin")
     for tried in range(attempts):
         last = tried + 1 == attempts
         try:
@@ -107,12 +107,12 @@ def request(send: Transport, method: str, url: str, *, allowed: tuple[str, str]
         limited = reply.status == 429
         if not (rate_first and limited):
             if origin(reply.url) != allowed:
-                raise OutOfScope(f"out-of-scope redirect: {reply.url}")
+                raise OutOfScope(f"the reply came from {reply.url}, which is not of the agreed origin")
             if is_blocked(reply):
-                raise AccessBlocked(f"access blocked: {reply.status} {url}")
+                raise AccessBlocked(f"{url} was refused with status {reply.status}")
         if limited:
             if last:
-                raise AccessBlocked(f"rate limited: {url}")
+                raise AccessBlocked(f"{url} still limits the rate")
             sleep(_wait(reply, tried))
         elif reply.status in TRANSIENT and not last:
             sleep(2.0**tried)
@@ -120,4 +120,4 @@ def request(send: Transport, method: str, url: str, *, allowed: tuple[str, str]
             raise RuntimeError(f"status {reply.status}: {url}")
         else:
             return reply
-    raise RuntimeError("unreachable")
+    raise ValueError("attempts must be positive")

@@ -79,7 +79,7 @@ def test_pilot_evaluation_and_candidates(spark, tmp_path):
     assert set(report) == {"fixed", "article", "hierarchy"} and report["hierarchy"]["exact_citation_at_5"] == 1.0 and report["fixed"]["exact_citation_at_5"] == 0.0
     assert "recall_at_20" not in report["fixed"]
     gold.write_text(json.dumps({**case, "evidence": [{**case["evidence"][0], "end": 999}]}) + "\n", encoding="utf-8")
-    with pytest.raises(ValueError, match="unresolvable"):
+    with pytest.raises(ValueError, match="no verified unit"):
         evaluate.evaluate_variants(spark, tmp_path / "pilot", gold)
     assert evaluate.export_candidates(spark, tmp_path / "pilot", tmp_path / "cand", 2) == 4
 
