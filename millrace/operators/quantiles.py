@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.sources.session import shared_folder
+from millrace.sources.session import kept
 
 CUTS = 4096
 MOST_ROUNDS = 64
@@ -44,13 +44,6 @@ def _picked(counted: DataFrame, by: list[str]) -> DataFrame:
     return held.select(*by, "name", "low", "high", (F.col("rank") - F.col("before")).alias("rank"))
 
 
-def _kept(state: DataFrame) -> DataFrame:
-    """A row for each group and rank, written to the shared folder, so that no round is done twice."""
-    path = shared_folder(state.sparkSession, "ranks")
-    state.write.parquet(path)
-    return state.sparkSession.read.schema(state.schema).parquet(path)
-
-
 def order_statistics(rows: DataFrame, value: str, ranks: dict, by: tuple[str, ...] = (), told: list | None = None) -> DataFrame:
     """(by..., a column for each name of ``ranks``): values at the ranks, given as functions of a group's row count.
 
@@ -71,7 +64,7 @@ def order_statistics(rows: DataFrame, value: str, ranks: dict, by: tuple[str, ..
     cut = values.groupBy(*own, _power(F.col("v")).alias("cut")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     total = F.sum("n").over(W.partitionBy(*own))  # some 4000 counters at most
     asked = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("total")).cast("long").alias("rank")) for name, rank in ranks.items()]))
-    state = _kept(_picked(cut.withColumn("total", total).select(*own, "cut", "n", "low", "high", asked.alias("a")).select("*", "a.name", "a.rank"), own))
+    state = kept(_picked(cut.withColumn("total", total).select(*own, "cut", "n", "low", "high", asked.alias("a")).select("*", "a.name", "a.rank"), own), "ranks")
     done = []
     for _ in range(MOST_ROUNDS):
         done.append(state.where("low = high"))
@@ -89,7 +82,7 @@ def order_statistics(rows: DataFrame, value: str, ranks: dict, by: tuple[str, ..
         # the ends stand alone, so that every round narrows the range
         placed = placed.withColumn("cut", F.when(F.col("v") == F.col("low"), -1).when(F.col("v") == F.col("high"), CUTS).otherwise(F.col("cut")))
         counted = placed.groupBy(*own, "name", "rank", "cut").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-        state = _kept(_picked(counted, own))
+        state = kept(_picked(counted, own), "ranks")
     else:
         raise RuntimeError("ranges did not settle")
     found = done[0]

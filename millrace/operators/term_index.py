@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import term_runs, tokens
 from millrace.operators import bm25
-from millrace.sources.session import path_exists
+from millrace.sources.session import kept, path_exists
 
 RANGE = 256  # chunks whose postings of a term are one block
 FOLDERS = 16  # folders by term in a segment
@@ -138,10 +138,10 @@ def top_k(index: TermIndex, queries: DataFrame, k: int, query_col: str = "query_
     if not index.segments():
         return index.spark.createDataFrame([], f"{query_col} {queries.schema[query_col].dataType.simpleString()}, rank long, chunk_id string, score double")
     asked, limits = bounds(index, queries, query_col, query_text)
-    asked, limits = asked.persist(), limits.persist()
+    asked, limits = kept(asked, "asked"), kept(limits, "limits")
     first = F.row_number().over(W.partitionBy(query_col).orderBy(F.desc("bound"), "segment", "range"))
     probed = limits.withColumn("nth", first).where(F.col("nth") <= probes)
-    early = scored(index, asked, probed, query_col).persist()
+    early = kept(scored(index, asked, probed, query_col), "early")
     nth = F.row_number().over(W.partitionBy(query_col).orderBy(F.desc("score")))
     bar = early.withColumn("nth", nth).where(F.col("nth") == k).select(query_col, F.col("score").alias("bar"))
     others = limits.join(probed.select(query_col, "segment", "range"), [query_col, "segment", "range"], "left_anti")

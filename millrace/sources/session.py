@@ -40,6 +40,13 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def kept(rows: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back, so that no later step makes them again."""
+    path = shared_folder(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on its own filesystem."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
