@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 
 from millrace.llm import textvec as tv
 from millrace.llm.levenshtein import LexiconAutomaton, Term
-from millrace.llm.toxicity import fit_toxicity, held_out, is_quoted, score_toxicity
+from millrace.llm.toxicity import ToxicityModel, fit_toxicity, held_out, is_quoted, score_toxicity
 
 
 def distance(a, b):
@@ -75,3 +75,34 @@ def test_without_labels(spark):
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert score_toxicity(docs, fit_toxicity(docs, none)).first()["score"] == 0.0
+
+
+def test_every_score_equals_a_word_by_word_version(spark):
+    import math
+    import re
+
+    rng = np.random.default_rng(7)
+    model = ToxicityModel([Term(b"grumble", True, 1), Term(b"snark", False, 1), Term("fußel".encode(), False, 0), Term(b"zank", True, 0)], np.array([-2.0, 3.0, 1.5, 0.25]), 0.1, 24)
+    said = ["grumble", "Grumbles", "grumbel", "grmble", "snark", "snarks", "snerk", "snrak", "FUßEL", "fussel", "zankapfel", "zan", "tree", "lamp", '"grumble"', "“snark”", "'zank'", '"', "é", "x1"]
+    texts = [" ".join(rng.choice(said, rng.integers(0, 14))) for _ in range(200)] + ["", None, "grumble" * 50, "  ", '"' + "grumble " * 30 + '"']
+
+    def score(text):
+        raw, counts = (text or "").lower().encode(), [0, 0, 0]
+        for w in re.finditer(rb"[0-9a-z\x80-\xff]+", raw):
+            edits = min((e for e in (brute(t, w[0]) for t in model.terms) if e is not None), default=None)
+            if edits is not None:
+                counts[2 if is_quoted(raw, w.start(), w.end(), 0, len(raw), model.window) else min(edits, 1)] += 1
+        return 1 / (1 + math.exp(-(model.weights[0] + sum(a * math.log1p(n) for a, n in zip(model.weights[1:], counts)))))
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in score_toxicity(docs, model).collect()}
+    want = {i: score(t) for i, t in enumerate(texts)}
+    assert all(abs(got[i][0] - want[i]) < 1e-12 and got[i][1] == (want[i] >= 0.5) for i in want) and len({round(x, 6) for x in want.values()}) > 30
+
+
+def test_a_row_labelled_both_ways_counts_as_toxic(spark):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows(200)] + [(i, 0) for i, _, y in rows(200) if y], "doc_id long, toxic int")
+    once = spark.createDataFrame([(i, y) for i, _, y in rows(200)], "doc_id long, toxic int")
+    twice, plain = fit_toxicity(docs, labels), fit_toxicity(docs, once)
+    assert twice.terms == plain.terms and np.allclose(twice.weights, plain.weights)
