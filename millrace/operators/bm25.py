@@ -7,9 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.text import term_runs, tokens
+from millrace.sources.session import kept
 
 
 MOST_TERMS_SENT = 2_000_000  # rows (query, term) up to which they are sent to every executor
+TASK_ROWS = 4_000_000  # pairs of a posting and a query that one task adds up
 
 
 def term_frequencies(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "embed_text") -> DataFrame:
@@ -42,7 +44,8 @@ def scores(chunks: DataFrame, queries: DataFrame, id_col: str = "chunk_id", text
 
     One pass over the collection counts documents for each asked term together with the collection's size (under a null
     term). A second one picks the postings of asked terms and deals them by chunk, so that the weighted terms of all
-    queries meet them evenly and the sums need no exchange of their own.
+    queries meet them evenly and the sums need no exchange of their own. A posting becomes a row for each query that asks for
+    its term only then, so the counts of the first pass tell how many tasks keep each of them small.
     """
     asked = query_terms(queries, query_col, query_text)
     by = list(keep)
@@ -57,11 +60,15 @@ def scores(chunks: DataFrame, queries: DataFrame, id_col: str = "chunk_id", text
     seen = rows.select(*by, F.size("terms").cast("long").alias("len"), F.explode(F.concat(nothing, F.array_distinct("terms"))).alias("term"))
     wanted = sent(asked.select("term").distinct().withColumn("asked", F.lit(True)))
     counts = seen.join(wanted, "term", "left").where("asked OR term IS NULL").groupBy(*by, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("len").alias("total"))
+    counts = kept(counts, "term-counts")  # a row for each asked term
+    often = asked.groupBy("term").agg(F.count(F.lit(1)).alias("times"))
+    pairs = counts.join(often, "term").agg(F.sum(F.col("df") * F.col("times"))).first()[0] or 0
+    tasks = max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs // TASK_ROWS))
     stats = counts.where("term IS NULL").select(*by, F.col("df").alias("n_chunks"), (F.col("total") / F.greatest(F.lit(1), F.col("df"))).alias("avg_len"))
     df = counts.where("term IS NOT NULL").select(*by, "term", "df")
     known = asked.join(df, "term").join(stats, by) if by else sent(asked.join(df, "term").crossJoin(F.broadcast(stats)))  # one row
     tf = rows.select(*by, id_col, F.size("terms").cast("long").alias("len"), F.explode(term_runs("terms")).alias("run")).select(*by, id_col, "len", "run.term", "run.tf")
-    postings = tf.join(wanted, "term", "left_semi").repartition(id_col)
+    postings = tf.join(wanted, "term", "left_semi").repartition(tasks, id_col)
     w = weight(F.col("n_chunks"), F.col("df"), F.col("tf"), F.col("len"), F.col("avg_len"))
     # rounded, so that the order of summation can't decide a tie
     return postings.join(known, [*by, "term"]).groupBy(query_col, *by, id_col).agg(F.round(F.sum(w), 9).alias("score"))
