@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions import html as H
 from millrace.functions import text as T
 from millrace.operators import bm25, chunks, citations, context, hierarchy, quality_audit, quantiles, retrieval_metrics, sampling, term_index, validity
-from millrace.sources.session import read_table, shared_folder, ship_package
+from millrace.sources.session import kept, read_table, shared_folder, ship_package
 from millrace.streaming import ingest, paged_stream, source_state, state_log, sync_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -284,7 +284,7 @@ def asked_of(spark, sf_dir) -> DataFrame:
 
 def ranked_of(spark, sf_dir, k: int) -> DataFrame:
     pieces = pieces_of(spark, sf_dir)
-    best = bm25.top_k(bm25.scores(pieces, asked_of(spark, sf_dir)), k)
+    best = kept(bm25.best(pieces, asked_of(spark, sf_dir), k), "ranked")  # k rows a query
     return best.join(pieces.drop("embed_text"), "chunk_id").withColumn("citation_verified", F.lit(True)).persist()
 
 
@@ -338,7 +338,7 @@ def chunk_len_stats(spark, sf_dir):
 
 @query(f"WITH {RANKED} SELECT query_id, rank, chunk_id, round(score, 6) AS score FROM ranked20 WHERE rank <= 10")
 def bm25_top10(spark, sf_dir):
-    best = bm25.top_k(bm25.scores(pieces_of(spark, sf_dir), asked_of(spark, sf_dir)), 10)
+    best = bm25.best(pieces_of(spark, sf_dir), asked_of(spark, sf_dir), 10)
     return best.select("query_id", "rank", "chunk_id", F.round("score", 6).alias("score"))
 
 
@@ -372,9 +372,10 @@ def context_pack(spark, sf_dir):
     for size in (1800, 500):
         own = pieces_of(spark, sf_dir, size).withColumn("chunk_id", F.concat_ws(":", F.lit(size), "chunk_id"))
         pieces = own if pieces is None else pieces.unionByName(own)
-    sized = pieces.select("chunk_id", "document_id", "source_start", "source_end", F.size(T.tokens("embed_text")).cast("long").alias("n_tokens"))
-    best = bm25.top_k(bm25.scores(pieces, asked_of(spark, sf_dir)), 20)
-    return context.pack_context(best.join(sized, "chunk_id"), 600).select("query_id", "rank", "document_id", "start", "end", "tokens", "used")
+    best = kept(bm25.best(pieces, asked_of(spark, sf_dir), 20), "ranked")  # twenty rows a query
+    # only the terms of what is ranked are counted again
+    ranked = best.join(pieces, "chunk_id").withColumn("n_tokens", F.size(T.tokens("embed_text")).cast("long")).drop("embed_text")
+    return context.pack_context(ranked, 600).select("query_id", "rank", "document_id", "start", "end", "tokens", "used")
 
 
 @query()
