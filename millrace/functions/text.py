@@ -144,6 +144,13 @@ def piece_starts(text, limit: int) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(limit))).otherwise(F.array().cast("array<int>"))
 
 
+def pieces(text, limit: int) -> Column:
+    """The pieces of at most ``limit`` characters in order, cut in one pass; none for an empty or null text."""
+    if limit < 1:
+        raise ValueError("max_chars must be positive")
+    return F.coalesce(F.regexp_extract_all(col(text), F.lit(f"(?s).{{1,{limit}}}"), F.lit(0)), F.array().cast("array<string>"))
+
+
 def origin(url) -> Column:
     """Scheme and authority in lower case."""
     return F.concat(F.lower(F.try_parse_url(col(url), F.lit("PROTOCOL"))), F.lit("://"), F.lower(F.try_parse_url(col(url), F.lit("AUTHORITY"))))

@@ -101,10 +101,42 @@ def merged(held: tuple, more: tuple, k: int) -> tuple:
     return query[keep], score[keep], ids.take(pa.array(keep))
 
 
+def counted(terms: pa.ListArray, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(terms of each chunk; chunk, word and how often of the words found); chunk by chunk, each word once."""
+    length = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    found = pc.index_in(terms.flatten(), value_set=words)
+    met = found.is_valid().to_numpy(zero_copy_only=False)
+    key, tf = np.unique(np.repeat(np.arange(len(length)), length)[met] * len(words) + found.drop_null().to_numpy(), return_counts=True)
+    chunk, at = np.divmod(key, max(1, len(words)))
+    return length, chunk, at, tf.astype(float)
+
+
+def document_counts(rows: DataFrame, words: pa.Array) -> tuple[int, int, np.ndarray]:
+    """(chunks, their terms, how many chunks hold each word) of rows (id, terms); each task counts its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, total = np.zeros(len(words), np.int64), 0, 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, BLOCK):
+                length, _, at, _ = counted(batch.column(0).slice(lo, BLOCK), words)
+                df += np.bincount(at, minlength=len(words))
+                total += int(length.sum())
+            n += len(batch.column(0)) - batch.column(0).null_count
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([None, *at.tolist()], pa.int64()), pa.array([n, *df[at].tolist()], pa.int64()), pa.array([total] + [0] * len(at), pa.int64())], ["word", "n", "total"])
+
+    sums = rows.select("terms").mapInArrow(run, "word long, n long, total long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).toArrow()
+    df = np.zeros(len(words))
+    own = sums.filter(pc.is_valid(sums["word"]))
+    df[own["word"].to_numpy()] = own["n"].to_numpy()
+    whole = sums.filter(pc.is_null(sums["word"])).to_pylist()
+    return (whole[0]["n"], whole[0]["total"], df) if whole else (0, 0, df)
+
+
 def best(chunks: DataFrame, queries: DataFrame, k: int, id_col: str = "chunk_id", text_col: str = "embed_text", query_col: str = "query_id", query_text: str = "query") -> DataFrame:
     """The same rows as ``top_k(scores(chunks, queries), k)``, without a row for each pair of chunk and query.
 
-    Document frequencies are counted as in ``scores``. Then every task multiplies blocks of its chunks (weights of asked terms) with the
+    One pass counts the documents of asked terms. In a second one every task multiplies blocks of its chunks (weights of asked terms) with the
     terms of the queries and keeps the k best of each query, so at most k rows a query and task are shuffled. Queries that
     are too many to be sent to the tasks are joined by ``scores``. Rows that share an id are brought together and add up.
     """
@@ -114,39 +146,26 @@ def best(chunks: DataFrame, queries: DataFrame, k: int, id_col: str = "chunk_id"
     if asked.limit(MOST_TERMS_SENT + 1).count() > MOST_TERMS_SENT:
         return top_k(scores(chunks, queries, id_col, text_col, query_col, query_text), k, id_col, (query_col,))
     rows = chunks.select(id_col, tokens(text_col).alias("terms"))
-    nothing = F.array(F.lit(None).cast("string"))
-    seen = rows.select(F.size("terms").cast("long").alias("len"), F.explode(F.concat(nothing, F.array_distinct("terms"))).alias("term"))
-    wanted = F.broadcast(asked.select("term").distinct().withColumn("asked", F.lit(True)))
-    counts = seen.join(wanted, "term", "left").where("asked OR term IS NULL").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("len").alias("total"))
-    counts = kept(counts, "term-counts")  # a row for each asked term
-    known = asked.join(counts.where("term IS NOT NULL").select("term", "df"), "term").select(query_col, "term", "df").toArrow()  # at most MOST_TERMS_SENT rows
-    total = counts.where("term IS NULL").first()
-    n, average = (total["df"], total["total"] / max(1, total["df"])) if total else (0, 0.0)
+    known = asked.toArrow()  # at most MOST_TERMS_SENT rows
+    words = pc.unique(known["term"].combine_chunks())
+    n, total, df = document_counts(rows, words)
+    average = total / max(1, n)
     again = chunks.groupBy(id_col).count().where("count > 1").first() is not None
     if again:
         tasks = max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
         rows = rows.repartition(tasks, id_col).sortWithinPartitions(id_col)
 
-    words = pc.unique(known["term"].combine_chunks())
     word = pc.index_in(known["term"].combine_chunks(), value_set=words).to_numpy(zero_copy_only=False).astype(np.int64)
     # equal rows of a query count once, as its terms do; queries that share an id add up
     named = known[query_col].combine_chunks().dictionary_encode("encode")
     who, names = named.indices.to_numpy(zero_copy_only=False).astype(np.int64), named.dictionary
-    df = np.zeros(len(words))
-    df[word] = known["df"].to_numpy()
     idf = np.log(1.0 + (n - df + 0.5) / (df + 0.5))
     size = max(1, CELLS // max(1, len(words)))  # queries in one matrix product
     out = ST.StructType([queries.schema[query_col], chunks.schema[id_col], ST.StructField("score", ST.DoubleType())])
 
     def weights(terms: pa.ListArray):
         """(chunk, word, weight) of the asked terms of a block."""
-        length = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        found = pc.index_in(terms.flatten(), value_set=words)
-        met = found.is_valid().to_numpy(zero_copy_only=False)
-        key = np.repeat(np.arange(len(length)), length)[met] * len(words) + found.drop_null().to_numpy()
-        key, tf = np.unique(key, return_counts=True)
-        chunk, at = np.divmod(key, max(1, len(words)))
-        tf = tf.astype(float)
+        length, chunk, at, tf = counted(terms, words)
         return chunk, at, idf[at] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length[chunk] / max(1.0, average)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

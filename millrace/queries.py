@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import html as H
 from millrace.functions import text as T
-from millrace.operators import bm25, chunks, citations, context, hierarchy, quality_audit, quantiles, retrieval_metrics, sampling, term_index, validity
+from millrace.operators import bm25, chunks, citations, context, hierarchy, quality_audit, quantiles, retrieval_metrics, runs, sampling, term_index, validity
 from millrace.sources.session import kept, read_table, shared_folder, ship_package
 from millrace.streaming import ingest, paged_stream, source_state, state_log, sync_state
 
@@ -273,8 +273,8 @@ GOLD = """
 
 def pieces_of(spark, sf_dir, size: int = 1800) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("document_id"), F.col("text").alias("source_text"))
-    rows = docs.select("document_id", "source_text", F.explode(T.piece_starts("source_text", size)).alias("source_start"))
-    return rows.select(F.concat_ws(":", "document_id", "source_start").alias("chunk_id"), "document_id", "source_start", F.least(F.col("source_start") + size, F.char_length("source_text")).alias("source_end"), F.substring(F.col("source_text"), F.col("source_start") + 1, F.lit(size)).alias("embed_text"))
+    rows = docs.select("document_id", F.posexplode(T.pieces("source_text", size)).alias("piece", "embed_text")).withColumn("source_start", F.col("piece") * size)
+    return rows.select(F.concat_ws(":", "document_id", "source_start").alias("chunk_id"), "document_id", "source_start", (F.col("source_start") + F.char_length("embed_text")).alias("source_end"), "embed_text")
 
 
 def asked_of(spark, sf_dir) -> DataFrame:
@@ -291,25 +291,19 @@ def ranked_of(spark, sf_dir, k: int) -> DataFrame:
 def gold_of(spark, sf_dir) -> DataFrame:
     """Where items stand verbatim in documents, the first place in each document.
 
-    Items are joined on six of their inner words, shorter ones on all inner words, and then checked in full. Items without
+    Items are looked up by six of their inner words, shorter ones by all inner words, and then checked in full. Items without
     an inner word are checked against all documents.
     """
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("item"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("document_id"), "text")
     # the first and the last word of an item may go on in the document
     inner = F.least(F.size(T.tokens("item")) - 2, F.lit(6))
-    sizes = sorted(r[0] for r in items.where("item IS NOT NULL").select(inner).distinct().collect())
-    keyed = items.where(inner > 0).withColumn("key", F.lower(F.array_join(F.slice(T.tokens("item"), F.lit(2), inner), " ")))
-    found = F.col("found")
-
-    def runs(n: int):
-        return F.when(F.size(found) >= n, F.transform(F.sequence(F.lit(1), F.size(found) - n + 1), lambda i: F.array_join(F.slice(found, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
-
-    every = F.array_distinct(F.concat(*[runs(n) for n in sizes if n > 0] or [F.array().cast("array<string>")]))
-    grams = docs.withColumn("found", T.tokens("text")).select("document_id", F.explode(every).alias("key"))
-    met = grams.join(keyed.select("key", "query_id", "item"), "key").drop("key").distinct()
-    hits = met.join(docs, "document_id")  # texts meet only the pairs that share a key
-    if sizes and sizes[0] <= 0:
+    keyed = items.where(inner > 0).select("query_id", F.slice(T.tokens("item"), F.lit(2), inner).alias("key"))
+    least = items.agg(F.min(inner)).first()[0]
+    met = kept(runs.meeting(docs.select("document_id", T.tokens("text").alias("words")), keyed).distinct(), "met")
+    # texts meet only the items that share a key with them, by which far fewer rows are moved than there are texts
+    hits = docs.join(met, "document_id").join(items, "query_id")
+    if least is not None and least <= 0:
         hits = hits.unionByName(docs.crossJoin(items.where(inner <= 0)))  # a stated set of queries
     hits = hits.where(F.contains("text", "item")).select("query_id", "document_id", (F.expr("instr(text, item)") - 1).cast("int").alias("start"), F.char_length("item").alias("n")).distinct()
     w = W.partitionBy("query_id").orderBy("document_id", "start")
