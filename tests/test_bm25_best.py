@@ -27,3 +27,9 @@ def test_best_shuffles_no_pair_of_chunk_and_query(spark):
     found = bm25.best(chunks, asked, 3)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "Join" not in plan and found.count() == 150
+
+
+def test_no_query_and_no_chunk_give_no_row(spark):
+    some, none = spark.createDataFrame([(1, "a b")], "query_id long, query string"), spark.createDataFrame([], "query_id long, query string")
+    chunks = spark.createDataFrame([("c", "a")], "chunk_id string, embed_text string")
+    assert bm25.best(chunks, none, 3).count() == 0 and bm25.best(chunks.limit(0), some, 3).count() == 0 and bm25.best(chunks, some, 3).count() == 1
