@@ -50,6 +50,17 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(casefolded(text), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
 
 
+#: Characters that case folding takes into or out of words, or into parts of them; texts without them needn't be folded to be counted.
+UNLIKE = ("\u0130", "\u0345")
+
+
+def token_count(text) -> Column:
+    """How many ``tokens`` a text has; folded only where that can change the number."""
+    odd = col(text).contains(UNLIKE[0]) | col(text).contains(UNLIKE[1])
+    found = F.when(odd, casefolded(text)).otherwise(col(text))
+    return F.regexp_count(found, F.lit(r"[\p{L}\p{N}_]+"))
+
+
 def term_runs(terms) -> Column:
     """(term, tf) of each different term of an array of them, counted within the row: equal neighbours of the sorted array."""
     runs = F.regexp_extract_all(F.array_join(F.sort_array(terms), " "), F.lit(r"(?<!\S)(\S+)(?: \1(?!\S))*+"), F.lit(0))

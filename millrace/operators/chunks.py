@@ -19,12 +19,12 @@ def merge_continuations(units: DataFrame) -> DataFrame:
     same = F.lag("kind").over(w).isNotNull() & ~F.lag("kind").over(w).isin(*UPPER) & (F.col("kind") == "text") & F.col("citation_verified").eqNullSafe(F.lag("citation_verified").over(w))
     for level in LEVELS:
         same = same & F.col(level).eqNullSafe(F.lag(level).over(w))
-    island = F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, 0))
-    lines = F.sort_array(F.collect_list(F.struct("pos", "text")))
-    firsts = [F.min_by(c, "pos").alias(c) for c in ("kind", "label", *LEVELS, "citation_verified")]
-    rows = units.withColumn("island", island).groupBy("document_id", "island")
-    rows = rows.agg(F.min("pos").alias("pos"), F.min("start").alias("start"), F.max("end").alias("end"), F.array_join(F.transform(lines, lambda x: x["text"]), "\n").alias("text"), *firsts)
-    return rows.drop("island")
+    rows = units.withColumn("fresh", ~F.coalesce(same, F.lit(False)))
+    rows = rows.withColumn("island", F.count_if("fresh").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    # an island's columns are those of its first row, so its rows meet in a window and none is grouped
+    whole = W.partitionBy("document_id", "island").orderBy("pos").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    rows = rows.withColumn("end", F.max("end").over(whole)).withColumn("text", F.array_join(F.collect_list("text").over(whole), "\n")).where("fresh")
+    return rows.select("document_id", "pos", "start", "end", "text", "kind", "label", *LEVELS, "citation_verified")
 
 
 def _context(kind: str, clears: tuple[str, ...]) -> Column:

@@ -20,6 +20,8 @@ HEADINGS = (
     ("point", r"(?iuU)^([a-zđ])\)\s+"),
 )
 UNVERIFIED = r"(?U)^(?:Điều|ĐIỀU)\b"
+#: White space of Unicode, what ``(?U)\s`` matches.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Warnings of lines, which the place of the line follows.
 ORPHAN_POINT, STRAY_ARTICLE = "orphan point at offset ", "unverified article heading at offset "
 
@@ -28,7 +30,7 @@ def split_lines(docs: DataFrame, doc_col: str = "document_id", text_col: str = "
     """(document_id, pos, text): the lines of each text that aren't blank, stripped."""
     lines = F.split(F.col(text_col), "\n")
     rows = docs.select(F.col(doc_col).alias("document_id"), F.posexplode(lines).alias("pos", "text"))
-    rows = rows.withColumn("text", F.regexp_replace("text", r"(?U)^\s+|\s+$", ""))
+    rows = rows.withColumn("text", F.btrim("text", F.lit(WHITE)))
     return rows.where("text <> ''")
 
 
@@ -46,11 +48,11 @@ def with_offsets(lines: DataFrame) -> DataFrame:
 
 
 def _kind_and_label() -> tuple[Column, Column]:
+    """The first heading that a line is, and what follows from ``kind`` alone: its label."""
     kind, label = F.lit("text"), F.lit(None).cast("string")
     for name, pattern in reversed(HEADINGS):
-        hit = F.col("text").rlike(pattern)
-        kind = F.when(hit, name).otherwise(kind)
-        label = F.when(hit, F.regexp_extract("text", pattern, 1)).otherwise(label)
+        kind = F.when(F.col("text").rlike(pattern), name).otherwise(kind)
+        label = F.when(F.col("kind") == name, F.regexp_extract("text", pattern, 1)).otherwise(label)
     return kind, label
 
 

@@ -58,8 +58,12 @@ def units_of(spark, sf_dir) -> DataFrame:
 
 def documents_of(spark, sf_dir) -> DataFrame:
     """Documents whose text is their numbered lines."""
+    return documents_from(numbered(spark, sf_dir))
+
+
+def documents_from(rows: DataFrame) -> DataFrame:
     lines = F.transform(F.sort_array(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"])
-    texts = numbered(spark, sf_dir).groupBy("document_id").agg(F.array_join(lines, "\n").alias("source_text"))
+    texts = rows.groupBy("document_id").agg(F.array_join(lines, "\n").alias("source_text"))
     return texts.select(
         "document_id",
         F.sha2(F.col("source_text").cast("binary"), 256).alias("source_hash"),
@@ -70,6 +74,12 @@ def documents_of(spark, sf_dir) -> DataFrame:
     )
 
 
+def parsed_of(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(units, documents): each written once, since the steps after them read both several times."""
+    units = kept(units_of(spark, sf_dir), "units")
+    return units, kept(documents_from(units), "numbered-documents")
+
+
 LINES = r"""
     raw AS (SELECT CAST(doc_id AS VARCHAR) AS document_id, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
@@ -150,7 +160,8 @@ SIZE = 400
 
 
 def hier_of(spark, sf_dir) -> DataFrame:
-    return chunks.hierarchy_chunks(units_of(spark, sf_dir), documents_of(spark, sf_dir), SIZE)
+    units, docs = parsed_of(spark, sf_dir)
+    return chunks.hierarchy_chunks(units, docs, SIZE)
 
 
 @query(f'WITH {LINES},{PLACED.format(src="lines")} SELECT document_id, pos, start, CAST(start + length(text) AS INT) AS "end", text FROM placed')
@@ -211,7 +222,7 @@ def _coverage_sql(source: str) -> str:
 @query(f"WITH {HIER},{_coverage_sql('chunks')}")
 def chunk_coverage_check(spark, sf_dir):
     """No row: these chunks are sound."""
-    units, docs = units_of(spark, sf_dir), documents_of(spark, sf_dir)
+    units, docs = parsed_of(spark, sf_dir)
     return chunks.coverage_errors(units, docs, chunks.hierarchy_chunks(units, docs, SIZE))
 
 
@@ -219,7 +230,7 @@ def chunk_coverage_check(spark, sf_dir):
            CASE WHEN source_start % 11 = 4 THEN content || '!' ELSE content END AS content FROM chunks JOIN (SELECT unnest([1, 2]) AS copy) ON copy = 1 OR source_start % 17 = 6 WHERE source_start % 7 <> 3),{_coverage_sql('spoilt')}""")
 def chunk_coverage_broken(spark, sf_dir):
     """The same check of chunks that are spoilt by rule: dropped, repeated, of another source, with other content."""
-    units, docs = units_of(spark, sf_dir), documents_of(spark, sf_dir)
+    units, docs = parsed_of(spark, sf_dir)
     at = F.col("source_start")
     rows = chunks.hierarchy_chunks(units, docs, SIZE).where(at % 7 != 3).withColumn("copy", F.explode(F.when(at % 17 == 6, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     spoilt = rows.withColumn("source_hash", F.when(at % 13 == 5, "x").otherwise(F.col("source_hash"))).withColumn("content", F.when(at % 11 == 4, F.concat("content", F.lit("!"))).otherwise(F.col("content")))
@@ -446,7 +457,7 @@ VARIANTS = f"""{HIER},
 
 
 def variants_of(spark, sf_dir) -> DataFrame:
-    units, docs = units_of(spark, sf_dir), documents_of(spark, sf_dir)
+    units, docs = parsed_of(spark, sf_dir)
     return chunks.variant_union(chunks.fixed_chunks(docs), chunks.article_chunks(units, docs), chunks.hierarchy_chunks(units, docs, SIZE))
 
 
