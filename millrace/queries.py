@@ -470,7 +470,7 @@ def variant_union(spark, sf_dir):
 
 @query(f"WITH {VARIANTS}, t AS (SELECT variant, chunk_id, {_TOK.format('embed_text')} AS terms FROM variants) SELECT variant, CAST(count(*) AS BIGINT) AS n_chunks, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM t GROUP BY 1")
 def variant_sizes(spark, sf_dir):
-    rows = variants_of(spark, sf_dir).select("variant", F.size(T.tokens("embed_text")).cast("long").alias("n"))
+    rows = variants_of(spark, sf_dir).select("variant", T.token_count("embed_text").cast("long").alias("n"))
     return rows.groupBy("variant").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("n").alias("n_terms"))
 
 

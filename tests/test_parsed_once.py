@@ -1,6 +1,9 @@
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from millrace import queries
+from millrace.functions import text as T
 from millrace.operators import chunks, hierarchy
 
 
@@ -29,3 +32,11 @@ def test_coverage_and_variants_read_the_documents_once(spark, monkeypatch):
         reads.clear()
         queries.QUERIES[name](spark, "/root/testdata/sf0.001")
         assert reads == ["documents"]
+
+
+def test_tokens_are_counted_without_folding_what_need_not_be(spark):
+    odd = [chr(c) for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000 and (unicodedata.category(chr(c))[0] in "LNM" or chr(c).lower() != chr(c))]
+    rows = [(f"a{c}b {c} {c}{c}",) for c in odd] + [("",), (None,), ("_ A1, b\n-c",)]
+    got = spark.createDataFrame(rows, "t string").select("t", T.token_count("t").alias("n"), F.size(T.tokens("t")).alias("own"))
+    assert got.where("t IS NOT NULL AND n <> own").collect() == []
+    assert got.where("t IS NULL").select("n").first()[0] is None
