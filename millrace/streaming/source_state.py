@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,24 +32,30 @@ class SourceState(StatefulProcessor):
         self.counts = handle.getMapState("counts", "action string", "n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        done, failed, tries = self.last.get() if self.last.exists() else (NEVER, NEVER, 0)
-        when = None
-        for frame in rows:
-            for action, n in frame["action"].value_counts().items():
-                before = self.counts.getValue((action,))[0] if self.counts.containsKey((action,)) else 0
-                self.counts.updateValue((action,), (before + int(n),))
-            own = frame[frame["action"] == "completed"]
-            done = max(done, int(own["seq"].max())) if len(own) else done
-            own = frame[frame["action"] == "pending"]
-            if len(own) and int(own["seq"].max()) > failed:
-                failed, when = int(own["seq"].max()), own.loc[own["seq"].idxmax(), "ts"]
+        """Every call of the state is a round trip to the executor, so what is known of a key is asked for once."""
+        held = self.last.get()
+        done, failed, tries = held or (NEVER, NEVER, 0)
+        waits = failed > done  # only then a timer can be set
+        came, when = {}, None
+        for r in rows:
+            came[r["action"]] = came.get(r["action"], 0) + 1
+            if r["seq"] is None:
+                continue
+            if r["action"] == "completed":
+                done = max(done, r["seq"])
+            elif r["action"] == "pending" and r["seq"] > failed:
+                failed, when = r["seq"], r["ms"]
+        before = {k[0]: v[0] for k, v in self.counts.iterator()} if held else {}
+        for action, n in came.items():
+            if action is not None:
+                self.counts.updateValue((action,), (before.get(action, 0) + n,))
         pending = failed > done
-        if not pending:
+        if waits and (not pending or when is not None):
             self._drop_timers()
+        if not pending:
             tries = 0
         elif when is not None:
-            self._drop_timers()
-            self.handle.registerTimer(int(when.timestamp() * 1000) + self.wait_ms * 2**tries)
+            self.handle.registerTimer(when + self.wait_ms * 2**tries)
         self.last.update((done, failed, tries))
         yield self._row(key, "state", done, pending, tries, timerValues.getCurrentWatermarkInMs())
 
@@ -68,17 +74,16 @@ class SourceState(StatefulProcessor):
             self.handle.deleteTimer(expiry)
 
     @staticmethod
-    def _row(key, kind: str, done: int, pending: bool, tries: int, at_ms: int):
-        import pandas as pd
-
-        return pd.DataFrame({"source_id": [key[0]], "kind": [kind], "seen": [True], "completed": [done > NEVER], "pending": [pending], "tries": [tries], "at": [pd.Timestamp(at_ms, unit="ms")]})
+    def _row(key, kind: str, done: int, pending: bool, tries: int, at_ms: int) -> Row:
+        return Row(source_id=key[0], kind=kind, seen=True, completed=done > NEVER, pending=pending, tries=tries, at=at_ms)
 
 
 def keyed_state(actions: DataFrame, late: str = "0 seconds", wait_ms: int = 3_600_000, tries: int = 3) -> DataFrame:
     """The stream of changes of a stream of actions (source_id, seq, action, ts)."""
     actions.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    rows = actions.select(F.col("source_id").cast("string").alias("source_id"), F.col("seq").cast("long").alias("seq"), "action", "ts").withWatermark("ts", late)
-    return rows.groupBy("source_id").transformWithStateInPandas(statefulProcessor=SourceState(wait_ms, tries), outputStructType=OUT, outputMode="Update", timeMode="EventTime")
+    rows = actions.select(F.col("source_id").cast("string").alias("source_id"), F.col("seq").cast("long").alias("seq"), "action", F.unix_millis("ts").alias("ms"), "ts").withWatermark("ts", late)
+    changes = rows.groupBy("source_id").transformWithState(statefulProcessor=SourceState(wait_ms, tries), outputStructType=OUT.replace("at timestamp", "at long"), outputMode="Update", timeMode="EventTime")
+    return changes.withColumn("at", F.timestamp_millis("at"))
 
 
 def run(changes: DataFrame, folder: str, checkpoint: str) -> None:
