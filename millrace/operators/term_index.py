@@ -146,9 +146,10 @@ def append(index: TermIndex, chunks: DataFrame, id_col: str = "chunk_id", text_c
     rows = chunks.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).dropDuplicates([id_col])
     if index.segments():
         rows = rows.join(index.forward().select(F.col("chunk_id").alias("__held")), F.col(id_col) == F.col("__held"), "left_anti")
-    found = rows.select(*order_by, F.col(id_col).cast("string").alias("__id"), tokens(text_col).alias("__terms"))
-    # neighbours of the order, dealt in ranges within each partition
+    found = rows.select(*order_by, F.col(id_col).cast("string").alias("__id"), F.col(text_col).alias("__text"))
+    # neighbours of the order, dealt in ranges within each partition; texts are cut into terms after that, since its sample reads all rows
     placed = found.repartitionByRange(*order_by, "__id").sortWithinPartitions(*order_by, "__id").withColumn("__n", F.monotonically_increasing_id())
+    placed = placed.withColumn("__terms", tokens("__text"))
     forward = placed.select(F.expr(f"__n div {RANGE}").alias("range"), F.expr(f"cast(__n % {RANGE} AS int)").alias("place"), F.col("__id").alias("chunk_id"), F.size("__terms").cast("long").alias("len"), term_runs("__terms").alias("runs"))
     forward.write.parquet(f"{index.path}/forward/segment={name}")
     held = index.spark.read.schema(FORWARD).parquet(f"{index.path}/forward/segment={name}")
