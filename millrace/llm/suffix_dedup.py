@@ -12,9 +12,10 @@ suffixes that can matter are found first, then sorted one bucket at a time:
    but the first place go.
 3. The removed stretches of each document are united and cut out.
 
-A gram that is in very many spans of one batch is hot: its spans are dealt by gram and content together, a mark tells
-its own bucket, and in step 2 its runs are dealt one by one by their content, so no bucket holds the gram alone. Equal
-runs of one batch are settled there. Texts are moved only where a stretch may go from them (a bounded bit table of ids
+A gram that is in very many spans of one batch is hot: its spans are dealt by gram and content together, and a mark tells
+its own bucket. Equal runs of one batch are settled there. A gram that is left with very many open spans in all has its
+runs dealt one by one by their content in step 2, so no bucket holds it alone; that moves a span's bytes once for each
+run, so it is kept to grams that a bucket can't take. Texts are moved only where a stretch may go from them (a bounded bit table of ids
 decides; it has no false negatives). Large texts are read in overlapping pieces.
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``length`` stay whole; rows with the same id are
@@ -41,6 +42,7 @@ GRAM = 32
 PIECE = 1 << 21  # bytes of a text that are worked on at once; below 2**24
 TASK_BYTES = 64 << 20  # of texts, whose spans one task takes
 HOT_SPANS = 32  # different spans of one gram in one batch, from which it is hot
+MANY_SPANS = 1 << 15  # open spans of one gram in all, above which its runs are dealt one by one; up to that they have 5.5 MB at most
 PLACE_BITS = np.uint64((1 << 24) - 1)
 LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 26  # bits of a table of ids: sixteen for each id, within these bounds
 SPAN = np.dtype([("gram", "<u8"), ("content", "<u8"), ("more", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("tag", "<u4"), ("runs", "u1"), ("kind", "u1")])
@@ -343,12 +345,15 @@ def repeated_stretches(rows: DataFrame, length: int) -> DataFrame:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(1 << 20, max(256, total // (32 << 20))))
     settled = write_table(settle_buckets(read_spans(rows, length, buckets), length, _tasks(rows, total)), "spans", ["gone"])
-    open_ = settled.where("NOT gone")
+    open_ = settled.where("NOT gone").drop("hot")
     size = open_.agg(F.sum("end") - F.sum("start")).first()[0] or 0
     near, _ = may_hold(open_, rows)
+    # fewer than open spans / MANY_SPANS grams, which bounds what is broadcast
+    many = open_.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MANY_SPANS).select("gram", F.lit(True).alias("hot"))
+    open_ = open_.join(F.broadcast(many), "gram", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     wanted = open_.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "runs", "gram", "hot")).alias("spans"))
     marked = near.join(wanted, ["doc", "tag"]).select("doc", "tag", "text", "spans")  # repeated rows are one place each
-    found = compare_buckets(gather_bytes(marked, length, int(max(256, size // (8 << 20)))), length, _tasks(rows, size))
+    found = compare_buckets(gather_bytes(marked, length, int(max(256, size // (4 << 20)))), length, _tasks(rows, size))
     gone = settled.where("gone").select("doc", "tag", "start", "end").unionByName(found)
     return write_table(gone.groupBy("doc", "tag").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("stretches")), "stretches")
 

@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 
 from millrace.llm import suffix_dedup
 from millrace.llm.difference_cover import COVER, PERIOD, equal_runs, shifts, sort_suffixes, words_at
+from millrace.llm.shared import DROP_SHUFFLES, write_table
 from millrace.llm.suffix_dedup import dedup_substrings, sliding_least, spans_of, united
 
 
@@ -158,3 +160,41 @@ def test_the_table_of_ids_has_no_false_negatives(spark, monkeypatch, n):
     near, far = suffix_dedup.may_hold(keys, rows)
     assert near.join(keys, "doc", "left_semi").count() == keys.count() and near.count() + far.count() == 20_000
     assert near.count() < keys.count() + 2000
+
+
+def test_runs_are_dealt_one_by_one_for_grams_of_very_many_spans_only(spark, monkeypatch):
+    rng, common = np.random.default_rng(2), "A passage of forty bytes that all share. "
+    say = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    rows = [(i, say(90) + common + say(90)) for i in range(80)] + [(100, "")]
+    rows += [(101, rows[7][1][20:]), (102, rows[8][1][:150]), (103, rows[9][1][5:] + rows[9][1])]
+    docs, gathered = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), []
+    compare = suffix_dedup.compare_buckets
+
+    def kept(found, *rest):
+        gathered.append(found.selectExpr("runs", "octet_length(bytes) AS n").collect())
+        return compare(found, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "compare_buckets", kept)
+    assert sorted(map(tuple, dedup_substrings(docs).collect()), key=str) == brute(rows)
+    monkeypatch.setattr(suffix_dedup, "MANY_SPANS", 10)
+    assert sorted(map(tuple, dedup_substrings(docs).collect()), key=str) == brute(rows)
+    few, many = (sum(r["n"] for r in g) for g in gathered)
+    assert sum(r["runs"] for r in gathered[0]) == sum(r["runs"] for r in gathered[1]) and few * 8 < many
+
+
+def test_nothing_shuffled_for_a_table_outlasts_its_write(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {n for k in range(files.size()) if (n := files.apply(k).getName()).startswith("shuffle_")}
+
+    rows = spark.range(5000).repartition(3, "id").selectExpr("id % 100 AS k").groupBy("k").count()
+    before = shuffled()
+    table = write_table(rows, "kept")
+    for _ in range(50):  # files are deleted in the background
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and table.count() == 100 and spark.conf.get(DROP_SHUFFLES) == "false"
