@@ -633,23 +633,40 @@ _AUDITED = f"""{_LOG_DUCK},
 
 
 def logged(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(records, references, files) as the audit reads them from a dataset folder."""
+    """(records, references, files) as the audit reads them from a dataset folder; one scan each."""
     table(spark, sf_dir, "documents").select("doc_id", "lang").createOrReplaceTempView("audited_documents")
-
-    def part(name):
-        return spark.sql(f"WITH {_log_sql('audited_documents', 'STRING', 'sha2({}, 256)')} SELECT * FROM {name}")
-
-    errors = F.when(F.col("n") % 83 == 19, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
-    records = part("logged").select(F.col("n").alias("line_no"), F.struct("source_id", errors.alias("errors")).alias("r"))
-    a = F.struct("kind", F.col("ref_source").alias("source_id"), F.col("url").alias("source_url"), F.col("fetched").alias("fetched_at"), F.col("sha").alias("sha256"), F.col("path").alias("relative_path"), F.col("status").alias("http_status"))
-    return records, part("refs").select(F.col("n").alias("line_no"), "source_id", "pos", a.alias("a")), part("files")
+    rows = spark.sql(f"WITH {_log_sql('audited_documents', 'STRING', 'sha2({}, 256)')} SELECT * FROM logged")
+    n, number, source = F.col("n"), F.col("n").cast("string"), F.col("source_id")
+    errors = F.when(n % 83 == 19, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    records = rows.select(n.alias("line_no"), F.struct("source_id", errors.alias("errors")).alias("r"))
+    hashed = rows.withColumns({"sha_body": F.sha2("body", 256), "sha_page": F.sha2("page", 256)})
+    plain, json_path, html_path = F.concat(F.lit("http://s/"), number), F.concat(F.lit("artifacts/"), number, F.lit(".json")), F.concat(F.lit("artifacts/"), number, F.lit(".html"))
+
+    def ref(pos, kind, held, sha, path, ref_source=source, url=plain, fetched=F.lit("now"), status=F.lit(200)):
+        a = F.struct(F.lit(kind).alias("kind"), ref_source.alias("source_id"), url.alias("source_url"), fetched.alias("fetched_at"), sha.alias("sha256"), path.alias("relative_path"), status.alias("http_status"))
+        return F.when(held, F.struct(F.lit(pos).alias("pos"), a.alias("a")))
+
+    odd = {"sha": F.when(n % 61 == 14, F.lit("x")).otherwise(F.col("sha_body")), "path": F.when(n % 47 == 11, F.concat(F.lit("../"), number)).otherwise(json_path), "status": F.when(n % 73 == 17, F.lit(404)).otherwise(F.lit(200))}
+    strange = {"ref_source": F.when(n % 79 == 18, F.lit("z")).otherwise(source), "url": F.concat(F.when(n % 67 == 15, F.lit("http://t/")).otherwise(F.lit("http://s/")), number), "fetched": F.when(n % 71 != 16, F.lit("now"))}
+    refs = [
+        ref(0, "document_json", n % 31 != 7, **odd),
+        ref(1, "document_json", n % 37 == 8, F.col("sha_body"), json_path),
+        ref(2, "document_html", n % 41 != 9, F.col("sha_page"), html_path, **strange),
+        ref(3, "document_html", n % 43 == 10, F.col("sha_page"), html_path),
+    ]
+    is_text = n % 97 != 21
+    files = [
+        F.when(n % 53 != 12, F.struct(json_path.alias("relative_path"), F.col("sha_body").alias("sha256"), F.lit(True).alias("is_text"), F.col("body").alias("content"))),
+        F.when(n % 59 != 13, F.struct(html_path.alias("relative_path"), F.col("sha_page").alias("sha256"), is_text.alias("is_text"), F.when(is_text, F.col("page")).alias("content"))),
+    ]
+    referenced = hashed.select(n.alias("line_no"), "source_id", F.explode(F.array_compact(F.array(*refs))).alias("ref")).select("line_no", "source_id", "ref.pos", "ref.a")
+    return records, referenced, hashed.select(F.explode(F.array_compact(F.array(*files))).alias("file")).select("file.*")
 
 
 def findings(spark, sf_dir) -> DataFrame:
     records, refs, files = logged(spark, sf_dir)
-    checked = quality_audit.checked_references(refs, files)
-    found = quality_audit.repeated_records(records).unionByName(quality_audit.reference_issues(checked))
-    return found.unionByName(quality_audit.document_issues(quality_audit.document_state(records, checked)))
+    state = quality_audit.document_state(records, quality_audit.checked_references(refs, files))
+    return quality_audit.repeated_records(records).unionByName(quality_audit.document_issues(state, with_references=True))
 
 
 @query(f"WITH {_AUDITED} SELECT source_id, code FROM i")
