@@ -324,20 +324,19 @@ def compare_buckets(rows: DataFrame, length: int, tasks: int) -> DataFrame:
 
 
 def may_hold(keys: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose ``doc`` may be among the keys' and rows whose surely isn't, by a bit table of MOST_SLOTS bits at most."""
+    """Rows whose ``doc`` may be among the keys' and rows whose surely isn't, by a bit table of MOST_SLOTS bits at most.
+
+    The table is joined as rows of 32,768 bits, so no plan holds its bytes: plans are kept as text by the driver, many times over.
+    """
     n = keys.agg(F.approx_count_distinct("doc")).first()[0]
     slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (16 * n).bit_length()))
-    slot = F.pmod(F.xxhash64("doc"), F.lit(slots))
-    table = bytearray(slots // 8)
-    # bitmaps of 4 KB, a row for each stretch of the table
-    parts = keys.select((slot + 1).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
-    for r in parts.toLocalIterator():
-        at = (r["part"] - 1) * 4096
-        table[at : at + 4096] = r["bits"]
-    shared = rows.withColumn("__slot", slot)
-    byte = F.conv(F.hex(F.substring(F.lit(table), F.expr("cast(__slot div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
-    hit = F.getbit(byte, (F.col("__slot") % 8).cast("int")) == 1
-    return shared.where(hit).drop("__slot"), shared.where(~hit).drop("__slot")
+    at = F.pmod(F.xxhash64("doc"), F.lit(slots)) + 1
+    # at most MOST_SLOTS / 32768 bitmaps of 4 KB, which bounds what is broadcast
+    table = keys.select(at.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("__part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("__bits"))
+    told = rows.withColumn("__at", F.bitmap_bit_position(at)).join(F.broadcast(table), F.bitmap_bucket_number(at) == F.col("__part"), "left")
+    byte = F.conv(F.hex(F.substring("__bits", F.expr("cast(__at div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (F.col("__at") % 8).cast("int")) == 1, F.lit(False))
+    return tuple(told.where(h).drop("__at", "__part", "__bits") for h in (hit, ~hit))
 
 
 def repeated_stretches(rows: DataFrame, length: int) -> DataFrame:

@@ -198,3 +198,12 @@ def test_nothing_shuffled_for_a_table_outlasts_its_write(spark):
             break
         time.sleep(0.1)
     assert not left and table.count() == 100 and spark.conf.get(DROP_SHUFFLES) == "false"
+
+
+def test_no_plan_holds_the_table_of_ids(spark):
+    rows = spark.range(20_000).selectExpr("id * 7919 - 1000000 AS doc")
+    keys = rows.where("doc % 4 = 0")
+    for part in suffix_dedup.may_hold(keys, rows):
+        assert len(part._jdf.queryExecution().toString()) < suffix_dedup.LEAST_SLOTS // 16  # its bytes as text would take four times that
+    near, far = suffix_dedup.may_hold(keys, rows)
+    assert near.columns == far.columns == ["doc"] and near.join(far, "doc").count() == 0
